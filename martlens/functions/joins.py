@@ -1,0 +1,55 @@
+"""Joins that keep working when one key holds a large part of the rows.
+
+No operator carries a bare broadcast hint. A side is broadcast only
+
+* by Spark itself, from file sizes or from sizes measured at run time (AQE), or
+* by ``join_lookup`` after counting the rows of a stored result.
+
+Past the bound the same join runs as a shuffle with the hot key spread out.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from martlens.sources.store import settle
+
+MAX_LOOKUP_ROWS = 200_000
+SALTS = 64
+
+
+def spread_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left", salts: int = SALTS) -> DataFrame:
+    """Equi join for a large left side with hot keys.
+
+    ``right`` must be small per key (one or a few rows). Left rows get a salt
+    from their own content, right rows are repeated once per salt, so one hot
+    key is shared by ``salts`` tasks. Inner and left joins only.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("spread_join supports inner and left joins")
+    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salts)).cast("int"))
+    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(copies, [*on, "_salt"], how).drop("_salt")
+
+
+def join_lookup(
+    left: DataFrame,
+    lookup: DataFrame,
+    on: Sequence[str],
+    how: str = "left",
+    max_rows: int = MAX_LOOKUP_ROWS,
+    salts: int = SALTS,
+) -> DataFrame:
+    """Join a large frame to an aggregated lookup of measured size.
+
+    The lookup is computed once and stored, its rows are counted, and only then
+    is it broadcast, which leaves the large side unshuffled. A larger lookup
+    goes through :func:`spread_join`.
+    """
+    kept = settle(lookup)
+    if kept.limit(max_rows + 1).count() <= max_rows:
+        return left.join(F.broadcast(kept), list(on), how)
+    return spread_join(left, kept, on, how, salts)
