@@ -1,9 +1,11 @@
 """Joins that keep working when one key holds a large part of the rows.
 
-No operator carries a bare broadcast hint. A side is broadcast only
+A side is broadcast only
 
-* by Spark itself, from file sizes or from sizes measured at run time (AQE), or
-* by ``join_lookup`` after counting the rows of a stored result.
+* by Spark itself, from file sizes or from sizes measured at run time (AQE),
+* by ``join_lookup`` after counting the rows of a stored result, or
+* by ``hot_key_join`` for its list of hot keys, which cannot exceed the row
+  count divided by ``HOT_ROWS``.
 
 Past the bound the same join runs as a shuffle with the hot key spread out.
 """
@@ -19,6 +21,8 @@ from martlens.sources.store import settle
 
 MAX_LOOKUP_ROWS = 200_000
 SALTS = 64
+HOT_ROWS = 1_000_000
+MAX_SALTS = 4096
 
 
 def spread_join(
@@ -63,3 +67,35 @@ def join_lookup(
     if kept.limit(max_rows + 1).count() <= max_rows:
         return left.join(F.broadcast(kept), list(on), how)
     return spread_join(left, kept, on, how, salt_on=salt_on)
+
+
+def hot_key_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    key_counts: DataFrame,
+    salt_on: Sequence[str],
+    how: str = "inner",
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Equi join of two large frames where ``right`` has few rows per key.
+
+    ``key_counts`` holds ``on`` and ``n``, the number of left rows per key. Only
+    keys above ``hot_rows`` are salted, by as many salts as they need; all other
+    rows are joined as they are, so ``right`` is hardly enlarged.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("hot_key_join supports inner and left joins")
+    hot = key_counts.where(F.col("n") > hot_rows).select(
+        *on, F.least(F.ceil(F.col("n") * 4 / hot_rows), F.lit(MAX_SALTS)).cast("int").alias("_salts")
+    )
+    salt = F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(
+        F.pmod(F.xxhash64(*[F.col(c) for c in salt_on]), F.col("_salts")).cast("int")
+    )
+    salted = left.join(F.broadcast(hot), list(on), "left").withColumn("_salt", salt).drop("_salts")
+    copies = (
+        right.join(F.broadcast(hot), list(on), "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
+        .drop("_salts")
+    )
+    return salted.join(copies, [*on, "_salt"], how).drop("_salt")

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlens.functions.joins import join_lookup, spread_join
+from martlens.functions.joins import hot_key_join, join_lookup
 from martlens.functions.money import cents, ratio, sum_cents, sum_usd, usd
 
 MODELS = ("first_touch", "last_touch", "linear", "time_decay", "position_based")
@@ -89,18 +89,19 @@ def touches_by_day(spend: DataFrame, campaigns: DataFrame, window_days: int = 30
 
 
 def touches_by_customer_day(
-    orders: DataFrame, spend: DataFrame, campaigns: DataFrame, window_days: int = 30
+    order_days: DataFrame, spend: DataFrame, campaigns: DataFrame, window_days: int = 30
 ) -> DataFrame:
     """The customer's own touches for every day on which that customer ordered.
 
-    Spend days and order days of a customer are reduced to one row per day and
+    ``order_days`` has one row per customer and order day. Spend days and order
+    days of a customer are reduced to one row per day and
     sub-channel first, so a window partition is bounded by the calendar even
     for a customer with a third of all rows.
     """
     days = converting_days(spend, campaigns, by_customer=True).withColumn("_order", F.lit(False))
     channels = days.select("customer_id", "sub_channel").distinct()
     probes = (
-        orders.select("customer_id", F.col("order_date").alias("day")).distinct()
+        order_days.select("customer_id", F.col("order_date").alias("day"))
         .join(channels, "customer_id")
         .select("customer_id", "day", "sub_channel", F.lit(None).cast("bigint").alias("_spend"), F.lit(True).alias("_order"))
     )
@@ -132,8 +133,10 @@ def conversions_with_touches(
         days = touches_by_day(spend, campaigns, window_days)
         return join_lookup(rows, days, ["order_date"], "inner", salt_on=["order_id"])
     if scope == "customer":
-        own = touches_by_customer_day(orders, spend, campaigns, window_days)
-        return spread_join(rows, own, ["customer_id", "order_date"], "inner", salts=16, salt_on=["order_id"])
+        key = ["customer_id", "order_date"]
+        counts = orders.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+        own = touches_by_customer_day(counts, spend, campaigns, window_days)
+        return hot_key_join(rows, own, key, counts, salt_on=["order_id"])
     raise ValueError(scope)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlens.functions.calendar import as_date, month_boundaries, month_start
-from martlens.functions.joins import spread_join
+from martlens.functions.joins import join_lookup
 from martlens.functions.money import cents, ratio, sum_cents, sum_usd, usd
 
 PROFILE = ("income_bracket", "lifestyle_segment", "outdoor_interest")
@@ -63,12 +63,13 @@ def segment_ladder(records: DataFrame) -> DataFrame:
 
 
 def zip_profiles(enrichment: DataFrame) -> DataFrame:
-    """Distinct profiles of each zip and how many records share them.
+    """One row per zip: its distinct profiles and how many records share each.
 
-    The number of rows per zip is bounded by the income brackets times the
-    segment labels, however many household records a zip has.
+    The list is bounded by the income brackets times the segment labels, however
+    many household records a zip has.
     """
-    return enrichment.groupBy("zip_code", *PROFILE).agg(F.count(F.lit(1)).alias("profile_rows"))
+    counted = enrichment.groupBy("zip_code", *PROFILE).agg(F.count(F.lit(1)).alias("profile_rows"))
+    return counted.groupBy("zip_code").agg(F.collect_list(F.struct(*PROFILE, "profile_rows")).alias("_profiles"))
 
 
 def one_profile_per_zip(enrichment: DataFrame) -> DataFrame:
@@ -113,7 +114,7 @@ def survey_weighted(
     per_person = kept.groupBy("release_year", "market_code", *codes, "respondent_code").agg(
         sum_cents("respondent_weight").alias("_weight")
     )
-    labelled = spread_join(per_person, wanted, codes, "inner", salt_on=["respondent_code"])
+    labelled = join_lookup(per_person, wanted, codes, "inner", salt_on=["respondent_code"])
     names = ["survey_year", "country", "category", "metric", "response"]
     per_answer = labelled.groupBy(*answer, "respondent_code").agg(F.sum("_weight").alias("_weight"))
     return per_answer.groupBy(*names).agg(
@@ -209,8 +210,10 @@ def customer_enriched(
     value_tier = F.when(value >= 2000, "high_value").when(value >= 500, "mid_value").otherwise("low_value")
     known = customers.join(customer_orders(orders), "customer_id", "left")
     side = one_profile_per_zip(enrichment) if profiles == "one" else zip_profiles(enrichment)
-    joined = spread_join(known, side, ["zip_code"], "left", salt_on=["customer_id"])
+    joined = join_lookup(known, side, ["zip_code"], "left", salt_on=["customer_id"])
     extra: list[Column] = []
+    if profiles != "one":
+        joined = joined.select(*known.columns, F.inline_outer("_profiles"))
     if profiles == "all":
         copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.coalesce("profile_rows", F.lit(1).cast("bigint"))))
         joined = joined.withColumn("_copy", copies)

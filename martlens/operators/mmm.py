@@ -125,7 +125,7 @@ def mmm_efficiency_trend(weekly: DataFrame, channels: Sequence[str] = ()) -> Dat
 
 
 def roas_vs_target(contributions: DataFrame, targets: Mapping[str, float] | None = None) -> DataFrame:
-    """Return against the channel's target; channels without a target have no status."""
+    """Return against the channel's target; without a target the status is below."""
     wanted = ROAS_TARGETS if targets is None else targets
     table = contributions.sparkSession.createDataFrame(
         list(wanted.items()), "sub_channel string, target_roas double"
@@ -137,7 +137,7 @@ def roas_vs_target(contributions: DataFrame, targets: Mapping[str, float] | None
         "roi",
         "target_roas",
         delta.alias("delta"),
-        F.when(delta >= 0, "Above Target").when(delta < 0, "Below Target").alias("status"),
+        F.when(delta >= 0, "Above Target").otherwise("Below Target").alias("status"),
     )
 
 
