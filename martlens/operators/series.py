@@ -108,7 +108,7 @@ def fit(daily: DataFrame, fill_gaps: bool = True) -> DataFrame:
         F.first("slope").alias("slope"),
         F.first("intercept").alias("intercept"),
         F.map_from_entries(F.collect_set(F.struct("_dow", "_effect"))).alias("effects"),
-        F.when(F.count("_e") > 1, F.stddev_samp("_e")).otherwise(F.lit(0.0)).alias("sigma"),
+        F.round(F.when(F.count("_e") > 1, F.stddev_samp("_e")).otherwise(F.lit(0.0)), 6).alias("sigma"),
     )
 
 

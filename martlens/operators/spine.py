@@ -88,8 +88,9 @@ def stable_sample(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     The order is an integer hash of the key and the seed, so the same rows come
     back on every run and the limit is a top-n, not a full sort.
     """
-    mixed = F.pmod(F.col(key) * F.lit(48271) + F.lit(seed), F.lit(2147483647))
-    return rows.withColumn("_h", F.pmod(mixed * F.lit(16807), F.lit(2147483647))).orderBy("_h", key).limit(n).drop("_h")
+    prime = F.lit(2147483647).cast("bigint")
+    mixed = F.pmod(F.pmod(F.col(key), prime) * F.lit(48271) + F.lit(seed), prime)
+    return rows.withColumn("_h", F.pmod(mixed * F.lit(16807), prime)).orderBy("_h", key).limit(n).drop("_h")
 
 
 def surrogate_key(rows: DataFrame, order_by: Sequence[str], name: str = "row_id", partitions: int | None = None) -> DataFrame:
