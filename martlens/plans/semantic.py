@@ -295,6 +295,10 @@ class LazyTables(Mapping):
             self._made[name] = self._makers[name]()
         return self._made[name]
 
+    def replace(self, name: str, frame: DataFrame) -> None:
+        """Use ``frame`` from now on, also in tables not built yet."""
+        self._made[name] = frame
+
     def __iter__(self):
         return iter(self._makers)
 
