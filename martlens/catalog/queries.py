@@ -152,6 +152,11 @@ def journeys_customer(t: LazyTables) -> DataFrame:
     return attribution.mta_journeys(own, "sequence")
 
 
+def summary_customer(t: LazyTables) -> DataFrame:
+    own = attribution.conversions_with_touches(t["orders"], t["spend"], t["campaigns"], WINDOW_DAYS, "customer")
+    return attribution.attr_summary(attribution.credits(own))
+
+
 def customer_per_zip(t: LazyTables) -> DataFrame:
     return enrich.customer_enriched(t["customers"], t["enrichment"], t["orders"], td.STAR_AS_OF, "one")
 
@@ -245,6 +250,7 @@ QUERIES: dict[str, Query] = {
         )
     },
     "attr_summary": _table("attribution_summary"),
+    "attr_summary_customer": _of(summary_customer),
     "attr_consensus": _of(lambda t: attribution.attr_consensus(t["attribution_summary"])),
     # marketing-mix model
     "mmm_daily": _table("mmm_daily"),
@@ -312,7 +318,7 @@ QUERIES: dict[str, Query] = {
     "sv_journey_metrics": _metric(
         "advanced", rounded={"avg_touchpoints": 4, "avg_journey_days": 4}, dimensions=["journey_stats.channel_path"],
         metrics=["journey_stats.avg_touchpoints", "journey_stats.avg_journey_days", "journey_stats.total_conversions"]),
-    "sv_mix_and_weather": _metric(
+    "sv_mix_roi": _metric(
         "advanced", rounded={"avg_roi": 4}, dimensions=["mmm_contributions.period"],
         metrics=["mmm_contributions.avg_roi", "mmm_contributions.total_attributed_revenue"]),
     "sv_key_check": lambda spark, sf: MARKETING.key_check(

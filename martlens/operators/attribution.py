@@ -186,7 +186,9 @@ def _credit(model: str, touch: Column, raw_total: Column, revenue: Column) -> tu
         return ratio(c, n * 100, 2), ratio(F.lit(1.0), n, 4)
     if model == "time_decay":
         raw = F.lit(1.0) / (touch["days_to_conversion"] + 1)
-        return F.round(F.try_divide(c * raw, raw_total * 100), 2), F.round(F.try_divide(raw, raw_total), 4)
+        share = F.try_divide(raw, raw_total)
+        # the nudge keeps exact halves, such as two equal touches, from rounding down by a binary remainder
+        return F.round(c * share / 100 + F.signum(c) * 1e-9, 2), F.round(share + 1e-12, 4)
     if model == "position_based":
         # whole tenths of the credit, so that the division is made once
         edge = (seq == 1) | (seq == n)
