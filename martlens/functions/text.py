@@ -22,9 +22,14 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def raw_tokens(text: Column | str) -> Column:
+    """Lower-cased runs of letters of the whole text; the first and last piece may be empty."""
+    return F.split(F.lower(_col(text)), r"[^\p{L}]+")
+
+
 def tokens(text: Column | str) -> Column:
-    """Lower-cased runs of letters of the whole text; empty pieces dropped."""
-    return F.filter(F.split(F.lower(_col(text)), r"[^\p{L}]+"), lambda t: t != F.lit(""))
+    """:func:`raw_tokens` without the empty pieces."""
+    return F.filter(raw_tokens(text), lambda t: t != F.lit(""))
 
 
 def sentences(text: Column | str) -> Column:

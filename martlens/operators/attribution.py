@@ -50,7 +50,7 @@ def _touch_array(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     An array holds at most one entry per sub-channel.
     """
     listed = rows.groupBy(*key).agg(
-        F.array_sort(F.collect_list(F.struct("first_touch_date", "sub_channel", "last_touch_date", "_spend"))).alias("_t")
+        F.sort_array(F.collect_list(F.struct("first_touch_date", "sub_channel", "last_touch_date", "_spend"))).alias("_t")
     )
     total = F.size("_t")
     numbered = F.transform(
@@ -160,7 +160,7 @@ def mta_journeys(conversions: DataFrame, path: str = "alphabetical") -> DataFram
     order of first contact.
     """
     names = F.transform("touches", lambda t: t["sub_channel"])
-    ordered = names if path == "sequence" else F.array_sort(names)
+    ordered = names if path == "sequence" else F.sort_array(names)
     first = F.array_min(F.transform("touches", lambda t: t["first_touch_date"]))
     return conversions.select(
         "customer_id",

@@ -151,7 +151,7 @@ def mmm_insight_text(summary: DataFrame) -> DataFrame:
         F.lit(", attributed_rev=$"), F.col("total_attributed").cast("bigint").cast("string"),
         F.lit(", ROI="), F.coalesce(F.format_string("%.2f", "overall_roi"), F.lit("N/A")),
     )
-    ranked = F.array_sort(F.collect_list(F.struct(
+    ranked = F.sort_array(F.collect_list(F.struct(
         (-F.coalesce("overall_roi", F.lit(-1e300))).alias("k"), F.col("sub_channel").alias("name"), line.alias("line")
     )))
     return summary.agg(ranked.alias("_r")).select(

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlens.functions.money import ratio
-from martlens.functions.text import NEGATIVE_WORDS, POSITIVE_WORDS, count_in, mentions, sentences, tokens
+from martlens.functions.text import NEGATIVE_WORDS, POSITIVE_WORDS, count_in, mentions, raw_tokens, sentences
 
 # The tiers a campaign can be given.
 PERFORMANCE_TIERS = ("Top Performer", "Solid Performer", "Average", "Underperformer", "Needs Review")
@@ -32,15 +32,22 @@ def review_sentiment(
     reviews: DataFrame, positive: Sequence[str] = POSITIVE_WORDS, negative: Sequence[str] = NEGATIVE_WORDS
 ) -> DataFrame:
     """Score in [-1, 1]: balance of opinion words in the whole text, 0 without any."""
-    up, down = count_in(F.col("_tokens"), positive), count_in(F.col("_tokens"), negative)
-    return reviews.withColumn("_tokens", tokens("review_text")).select(
-        "review_id",
-        "review_text",
-        "channel",
-        "product_category",
-        "product_name",
-        "rating",
-        F.coalesce(F.try_divide((up - down).cast("double"), (up + down).cast("double")), F.lit(0.0)).alias("sentiment_score"),
+    up, down = F.col("_up").cast("double"), F.col("_down").cast("double")
+    score = F.coalesce(F.try_divide(up - down, up + down), F.lit(0.0))
+    return (
+        reviews.withColumn("_tokens", raw_tokens("review_text"))
+        .withColumns({"_up": count_in(F.col("_tokens"), positive), "_down": count_in(F.col("_tokens"), negative)})
+        .select(
+            "review_id",
+            "review_text",
+            "channel",
+            "product_category",
+            "product_name",
+            "rating",
+            # as generator output the score is computed once, also under a filter on it,
+            # which would otherwise be pushed down with a copy of the whole expression
+            F.inline(F.array(F.struct(score.alias("sentiment_score")))),
+        )
     )
 
 
@@ -58,14 +65,6 @@ def sentiment_histogram(scored: DataFrame, bins: int = 30) -> DataFrame:
     return scored.groupBy(bucket.cast("int").alias("bin"), "channel").agg(F.count(F.lit(1)).alias("reviews"))
 
 
-def _answer(parts: Column, words: Sequence[str]) -> tuple[Column, Column]:
-    """First sentence that mentions one of ``words``, and the share of sentences that do."""
-    hits = F.filter(parts, lambda s: mentions(s, words))
-    return F.get(hits, F.lit(0)), F.coalesce(
-        F.try_divide(F.size(hits).cast("double"), F.size(parts).cast("double")), F.lit(0.0)
-    )
-
-
 def review_extract(
     reviews: DataFrame,
     feedback: Sequence[str] = FEEDBACK_WORDS,
@@ -73,13 +72,20 @@ def review_extract(
     recommend: Sequence[str] = RECOMMEND_WORDS,
     discourage: Sequence[str] = DISCOURAGE_WORDS,
 ) -> DataFrame:
-    """Product feedback, competitor mention and recommendation found in each review."""
-    said, share = _answer(F.col("_sentences"), feedback)
+    """Product feedback, competitor mention and recommendation found in each review.
+
+    Feedback is the first sentence that mentions one of its cue words, with the
+    share of sentences that do.
+    """
+    share = F.try_divide(F.size("_hits").cast("double"), F.size("_sentences").cast("double"))
     brand = F.get(F.filter("_tokens", lambda t: t.isin(*competitors)), F.lit(0))
-    lean = count_in(F.col("_tokens"), recommend) - count_in(F.col("_tokens"), discourage)
+    lean = F.col("_lean")
     return (
-        reviews.withColumn("_sentences", sentences("review_text"))
-        .withColumn("_tokens", tokens("review_text"))
+        reviews.withColumns({"_sentences": sentences("review_text"), "_tokens": raw_tokens("review_text")})
+        .withColumns({
+            "_hits": F.filter("_sentences", lambda s: mentions(s, feedback)),
+            "_lean": count_in(F.col("_tokens"), recommend) - count_in(F.col("_tokens"), discourage),
+        })
         .select(
             "review_id",
             "product_category",
@@ -87,8 +93,8 @@ def review_extract(
             "channel",
             "rating",
             "review_text",
-            said.alias("product_feedback"),
-            share.alias("feedback_score"),
+            F.get("_hits", F.lit(0)).alias("product_feedback"),
+            F.coalesce(share, F.lit(0.0)).alias("feedback_score"),
             brand.alias("competitor_mention"),
             F.when(lean > 0, "yes").when(lean < 0, "no").otherwise("unclear").alias("recommendation"),
         )
@@ -96,11 +102,28 @@ def review_extract(
 
 
 def term_counts(reviews: DataFrame, by: str) -> DataFrame:
-    """Occurrences of each term per group, and in how many reviews it occurs."""
-    rows = reviews.select(by, tokens("review_text").alias("_t"))
-    words = rows.select(by, F.explode("_t").alias("term"), F.lit(1).alias("tf"), F.lit(0).alias("df"))
-    once = rows.select(by, F.explode(F.array_distinct("_t")).alias("term"), F.lit(0).alias("tf"), F.lit(1).alias("df"))
-    return words.unionByName(once).groupBy(by, "term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+    """Occurrences of each term per group, and in how many reviews it occurs.
+
+    A review's tokens are sorted and its runs of equal tokens become one row per
+    distinct term, so each text is read once and far fewer rows are exploded.
+    ``inline_outer`` and not ``inline``: for the latter the optimizer adds a
+    filter that evaluates the token expression a second time.
+    """
+    size = F.size("_s")
+    is_start = F.filter(F.sequence(F.lit(0), size - 1), lambda i: (i == 0) | (F.get("_s", i) != F.get("_s", i - 1)))
+    runs = F.transform(
+        "_starts",
+        lambda start, k: F.struct(
+            F.get("_s", start).alias("term"), (F.coalesce(F.get("_starts", k + 1), size) - start).alias("_run")
+        ),
+    )
+    rows = reviews.select(by, F.sort_array(raw_tokens("review_text")).alias("_s")).withColumn("_starts", is_start)
+    return (
+        rows.select(by, F.inline_outer(runs))
+        .where(F.col("term") != "")
+        .groupBy(by, "term")
+        .agg(F.sum("_run").alias("tf"), F.count(F.lit(1)).alias("df"))
+    )
 
 
 def theme_terms(reviews: DataFrame, by: str = "channel", k: int = 10) -> DataFrame:
@@ -123,7 +146,7 @@ def theme_terms(reviews: DataFrame, by: str = "channel", k: int = 10) -> DataFra
 
 def channel_themes(reviews: DataFrame, by: str = "channel", k: int = 10) -> DataFrame:
     """One row per group with its theme terms, best first."""
-    ranked = F.array_sort(F.collect_list(F.struct("rank", "term")))
+    ranked = F.sort_array(F.collect_list(F.struct("rank", "term")))
     return theme_terms(reviews, by, k).groupBy(by).agg(
         F.array_join(F.transform(ranked, lambda r: r["term"]), ", ").alias("themes")
     )
@@ -139,7 +162,7 @@ def top_terms(
     """Most common terms of the reviews inside a rating and a score range."""
     kept = scored.where(F.col("rating").between(*ratings) & F.col("sentiment_score").between(*scores))
     return (
-        kept.select(F.explode(tokens("review_text")).alias("term"))
+        kept.select(F.explode_outer(raw_tokens("review_text")).alias("term"))
         .where(F.length("term") >= min_length)
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("n"))

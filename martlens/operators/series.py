@@ -120,8 +120,8 @@ def _expected() -> Column:
 
 
 def _bounded(rows: DataFrame, level: float, digits: int) -> DataFrame:
-    z = Z_SCORES[level]
-    expected, half = _expected(), F.lit(z) * F.col("sigma")
+    # the nudge makes halves round up on every machine, whatever the order of the sums before
+    half, expected = F.lit(Z_SCORES[level]) * F.col("sigma"), _expected() + 1e-9
     return rows.withColumn("forecast", F.round(expected, digits)).withColumn(
         "lower_bound", F.round(expected - half, digits)
     ).withColumn("upper_bound", F.round(expected + half, digits))

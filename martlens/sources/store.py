@@ -44,6 +44,15 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def at_least_parallel(df: DataFrame) -> DataFrame:
+    """Split an input that has fewer partitions than cores, for work that is heavy per row.
+
+    Input with enough file splits, as any large table has, is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def write_snapshot(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     """Replace a table with the rows of ``df``."""
     writer = df.write.mode("overwrite")

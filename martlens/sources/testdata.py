@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlens.functions.money import cents, usd
+from martlens.sources.store import at_least_parallel
 
 # Product categories and marketing sub-channels.
 CATEGORIES = ("outerwear", "footwear", "camping", "climbing", "winter_sports", "accessories")
@@ -27,8 +28,25 @@ STAR_AS_OF = dt.date(2001, 9, 1)
 EVENT_AS_OF = dt.date(2024, 1, 31)
 
 
+# Declared column types, so that no scan starts with a job that infers them.
+TABLE_SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _k() -> Column:
@@ -260,7 +278,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     source_no = F.regexp_extract("source", "[0-9]+", 0).cast("int")
     return (
-        table(spark, sf_dir, "documents")
+        at_least_parallel(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
         .join(marks, "doc_id", "left")
         .select(
             F.col("doc_id").alias("review_id"),
