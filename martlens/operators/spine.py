@@ -85,12 +85,20 @@ def revenue_what_if(
 def stable_sample(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """``n`` rows in a repeatable random order, without replacement.
 
-    The order is an integer hash of the key and the seed, so the same rows come
-    back on every run and the limit is a top-n, not a full sort.
+    The order is an integer hash of the key and the seed (two squaring rounds
+    modulo a prime), so the same rows come back on every run and on any engine,
+    and the limit is a top-n, not a full sort.
     """
     prime = F.lit(2147483647).cast("bigint")
-    mixed = F.pmod(F.pmod(F.col(key), prime) * F.lit(48271) + F.lit(seed), prime)
-    return rows.withColumn("_h", F.pmod(mixed * F.lit(16807), prime)).orderBy("_h", key).limit(n).drop("_h")
+    x = F.pmod(F.pmod(F.col(key), prime) * 48271 + F.lit(seed * 69621 % 2147483647), prime)
+    return (
+        rows.withColumn("_h", x)
+        .withColumn("_h", F.pmod(F.col("_h") * F.col("_h") + F.col("_h") * 16807, prime))
+        .withColumn("_h", F.pmod(F.col("_h") * F.col("_h") + F.col("_h") * 39373, prime))
+        .orderBy("_h", key)
+        .limit(n)
+        .drop("_h")
+    )
 
 
 def surrogate_key(rows: DataFrame, order_by: Sequence[str], name: str = "row_id", partitions: int | None = None) -> DataFrame:
