@@ -154,7 +154,7 @@ def journeys_customer(t: LazyTables) -> DataFrame:
 
 def summary_customer(t: LazyTables) -> DataFrame:
     own = attribution.conversions_with_touches(t["orders"], t["spend"], t["campaigns"], WINDOW_DAYS, "customer")
-    return attribution.attr_summary(attribution.credits(own))
+    return attribution.attr_summary(own)
 
 
 def customer_per_zip(t: LazyTables) -> DataFrame:

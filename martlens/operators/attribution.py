@@ -20,7 +20,6 @@ from martlens.functions.money import cents, ratio, sum_cents, sum_usd, usd
 
 MODELS = ("first_touch", "last_touch", "linear", "time_decay", "position_based")
 ORDER_COLUMNS = ("customer_id", "order_id", "order_date", "revenue")
-# The summary drops zero credits of the single-touch models only.
 SINGLE_TOUCH = ("first_touch", "last_touch")
 
 
@@ -53,6 +52,11 @@ def _touch_array(rows: DataFrame, key: Sequence[str]) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("first_touch_date", "sub_channel", "last_touch_date", "_spend"))).alias("_t")
     )
     total = F.size("_t")
+
+    def pull(t: Column) -> Column:
+        return F.lit(1.0) / (F.datediff(F.col("order_date"), t["first_touch_date"]) + 1)
+
+    pull_all = F.aggregate("_t", F.lit(0.0), lambda acc, t: acc + pull(t))
     numbered = F.transform(
         F.col("_t"),
         lambda t, i: F.struct(
@@ -63,6 +67,7 @@ def _touch_array(rows: DataFrame, key: Sequence[str]) -> DataFrame:
             F.datediff(F.col("order_date"), t["first_touch_date"]).alias("days_to_conversion"),
             (i + 1).alias("touchpoint_sequence"),
             total.alias("total_touchpoints"),
+            (pull(t) / pull_all).alias("decay_share"),
         ),
     )
     return listed.select(*key, numbered.alias("touches"))
@@ -150,7 +155,7 @@ def mta_touchpoints(
         F.col("order_date").alias("conversion_date"),
         "revenue",
         F.inline("touches"),
-    )
+    ).drop("decay_share")
 
 
 def mta_journeys(conversions: DataFrame, path: str = "alphabetical") -> DataFrame:
@@ -175,7 +180,7 @@ def mta_journeys(conversions: DataFrame, path: str = "alphabetical") -> DataFram
     )
 
 
-def _credit(model: str, touch: Column, raw_total: Column, revenue: Column) -> tuple[Column, Column]:
+def _credit(model: str, touch: Column, revenue: Column) -> tuple[Column, Column]:
     """Credit in money and weight of one touch under one model."""
     seq, n = touch["touchpoint_sequence"], touch["total_touchpoints"]
     c = cents(revenue).cast("double")
@@ -185,8 +190,7 @@ def _credit(model: str, touch: Column, raw_total: Column, revenue: Column) -> tu
     if model == "linear":
         return ratio(c, n * 100, 2), ratio(F.lit(1.0), n, 4)
     if model == "time_decay":
-        raw = F.lit(1.0) / (touch["days_to_conversion"] + 1)
-        share = F.try_divide(raw, raw_total)
+        share = touch["decay_share"]
         # the nudge keeps exact halves, such as two equal touches, from rounding down by a binary remainder
         return F.round(c * share / 100 + F.signum(c) * 1e-9, 2), F.round(share + 1e-12, 4)
     if model == "position_based":
@@ -200,18 +204,14 @@ def _credit(model: str, touch: Column, raw_total: Column, revenue: Column) -> tu
 
 def credits(conversions: DataFrame, models: Sequence[str] = MODELS) -> DataFrame:
     """Credit of every touch under each model: one pass over the orders, no shuffle."""
-    raw_total = F.aggregate(
-        "touches", F.lit(0.0), lambda acc, t: acc + F.lit(1.0) / (t["days_to_conversion"] + 1)
-    )
-    with_total = conversions.withColumn("_raw_total", raw_total).withColumn("_t", F.explode("touches"))
     touch = F.col("_t")
     rows = []
     for model in models:
-        amount, weight = _credit(model, touch, F.col("_raw_total"), F.col("revenue"))
+        amount, weight = _credit(model, touch, F.col("revenue"))
         rows.append(F.struct(
             amount.alias("attributed_revenue"), weight.alias("attribution_weight"), F.lit(model).alias("model_name")
         ))
-    return with_total.select(
+    return conversions.withColumn("_t", F.explode("touches")).select(
         F.col("order_id").alias("conversion_id"),
         "customer_id",
         touch["sub_channel"].alias("sub_channel"),
@@ -228,19 +228,33 @@ def attribution(conversions: DataFrame, model: str) -> DataFrame:
     return credits(conversions, [model])
 
 
-def attr_summary(credit_rows: DataFrame, order_ids_unique: bool = True) -> DataFrame:
+def attr_summary(conversions: DataFrame, order_ids_unique: bool = True) -> DataFrame:
     """Credit and converted orders per sub-channel and model.
 
-    A sub-channel touches an order once, and ``order_id`` is the declared key of
-    the orders, so counting rows counts distinct orders and the whole summary is
-    one map-side aggregate. Pass ``order_ids_unique=False`` for an orders table
-    that does not hold its key; the ids are then deduplicated.
+    The models are columns while the touches are aggregated (map-side, by
+    sub-channel) and become rows only in the small result. A sub-channel touches
+    an order once, and ``order_id`` is the declared key of the orders, so
+    counting rows counts distinct orders. Pass ``order_ids_unique=False`` for an
+    orders table that does not hold its key; the ids are then deduplicated.
     """
-    kept = credit_rows.where(~F.col("model_name").isin(*SINGLE_TOUCH) | (F.col("attributed_revenue") > 0))
-    counted = F.count("conversion_id") if order_ids_unique else F.countDistinct("conversion_id")
-    return kept.groupBy("sub_channel", "model_name").agg(
-        sum_usd("attributed_revenue").alias("total_attributed_revenue"),
-        counted.alias("conversions_attributed"),
+    touch = F.col("_t")
+    touched = conversions.select("order_id", "revenue", F.explode("touches").alias("_t"))
+    sums, rows = [], []
+    for model in MODELS:
+        amount, _ = _credit(model, touch, F.col("revenue"))
+        # zero credits are dropped for the single-touch models only
+        kept = amount > 0 if model in SINGLE_TOUCH else F.lit(True)
+        counted = F.count_if(kept) if order_ids_unique else F.countDistinct(F.when(kept, F.col("order_id")))
+        sums += [F.sum(F.when(kept, cents(amount))).alias(f"_{model}_c"), counted.alias(f"_{model}_n")]
+        rows.append(F.struct(
+            F.lit(model).alias("model_name"),
+            usd(f"_{model}_c").alias("total_attributed_revenue"),
+            F.col(f"_{model}_n").alias("conversions_attributed"),
+        ))
+    return (
+        touched.groupBy(touch["sub_channel"].alias("sub_channel")).agg(*sums)
+        .select("sub_channel", F.inline(F.array(*rows)))
+        .where(F.col("conversions_attributed") > 0)
     )
 
 

@@ -62,19 +62,41 @@ def segment_ladder(records: DataFrame) -> DataFrame:
     )
 
 
-def zip_profiles(enrichment: DataFrame) -> DataFrame:
-    """One row per zip: its distinct profiles and how many records share each.
+def profile_counts(enrichment: DataFrame) -> DataFrame:
+    """Distinct profiles of each zip and how many records share each.
 
-    The list is bounded by the income brackets times the segment labels, however
-    many household records a zip has.
+    A plain hash aggregate that takes the household records down to a number of
+    rows bounded by zips times income brackets times segment labels. Everything
+    else about a zip is derived from it.
     """
-    counted = enrichment.groupBy("zip_code", *PROFILE).agg(F.count(F.lit(1)).alias("profile_rows"))
-    return counted.groupBy("zip_code").agg(F.collect_list(F.struct(*PROFILE, "profile_rows")).alias("_profiles"))
+    return enrichment.groupBy("zip_code", *PROFILE).agg(F.count(F.lit(1)).alias("profile_rows"))
+
+
+def zip_profiles(enrichment: DataFrame) -> DataFrame:
+    """One row per zip with the list of its distinct profiles."""
+    return profile_counts(enrichment).groupBy("zip_code").agg(
+        F.collect_list(F.struct(*PROFILE, "profile_rows")).alias("_profiles")
+    )
 
 
 def one_profile_per_zip(enrichment: DataFrame) -> DataFrame:
-    """The most frequent value of each attribute per zip (ties: the lowest)."""
-    return enrichment.groupBy("zip_code").agg(*[F.mode(c, True).alias(c) for c in PROFILE])
+    """The most frequent value of each attribute per zip (ties: the lowest), and the record count."""
+    values = F.array(*[F.struct(F.lit(p).alias("attribute"), F.col(p).alias("value")) for p in PROFILE])
+    votes = (
+        profile_counts(enrichment)
+        .select("zip_code", "profile_rows", F.inline(values))
+        .groupBy("zip_code", "attribute", "value")
+        .agg(F.sum("profile_rows").alias("n"))
+    )
+
+    def dominant(name: str) -> Column:
+        mine = (F.col("attribute") == name) & F.col("value").isNotNull()
+        return F.min_by("value", F.when(mine, F.struct(-F.col("n"), F.col("value"))))
+
+    return votes.groupBy("zip_code").agg(
+        *[dominant(p).alias(p) for p in PROFILE],
+        F.sum(F.when(F.col("attribute") == PROFILE[0], F.col("n"))).alias("zip_records"),
+    )
 
 
 def survey_weighted(
@@ -87,10 +109,10 @@ def survey_weighted(
 ) -> DataFrame:
     """Distinct respondents and weighted population per answer.
 
-    Responses are reduced to one row per respondent and code triple before the
-    label join, and to one row per respondent and answer after it, so a question
-    that everybody answers is spread over its respondents.
-    ``approximate`` replaces the exact distinct count by a sketch.
+    Labels are looked up on the rows as scanned, then one shuffle reduces them to
+    a row per answer and respondent, so a question that everybody answers is
+    spread over its respondents; the last aggregate moves only partial counts.
+    ``approximate`` replaces the exact distinct count by a mergeable sketch.
     """
     codes = ["namespace_code", "question_code", "datapoint_code"]
     answer = [
@@ -111,12 +133,9 @@ def survey_weighted(
             F.hll_sketch_estimate(F.hll_union_agg("_who")).alias("respondent_count"),
             usd(F.sum("_weight")).alias("weighted_population"),
         )
-    per_person = kept.groupBy("release_year", "market_code", *codes, "respondent_code").agg(
-        sum_cents("respondent_weight").alias("_weight")
-    )
-    labelled = join_lookup(per_person, wanted, codes, "inner", salt_on=["respondent_code"])
+    labelled = join_lookup(kept, wanted, codes, "inner", salt_on=["respondent_code"])
     names = ["survey_year", "country", "category", "metric", "response"]
-    per_answer = labelled.groupBy(*answer, "respondent_code").agg(F.sum("_weight").alias("_weight"))
+    per_answer = labelled.groupBy(*answer, "respondent_code").agg(sum_cents("respondent_weight").alias("_weight"))
     return per_answer.groupBy(*names).agg(
         F.count("respondent_code").alias("respondent_count"),
         usd(F.sum("_weight")).alias("weighted_population"),
@@ -174,15 +193,15 @@ def weather_band_avg(revenue_by_weather: DataFrame) -> DataFrame:
 def customer_orders(orders: DataFrame) -> DataFrame:
     """Order history of each customer.
 
-    The distinct categories are collected as a set, which is bounded by the
-    number of product categories, so one pass with map-side partials suffices.
+    Spark plans the distinct count as a hash aggregate by customer and category
+    that carries the other sums along, then one by customer.
     """
     return orders.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("total_orders"),
         sum_cents("revenue").alias("_revenue"),
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"),
-        F.size(F.collect_set("product_category")).cast("bigint").alias("distinct_categories"),
+        F.countDistinct("product_category").alias("distinct_categories"),
     )
 
 

@@ -67,9 +67,7 @@ def geo_targeting(
             F.coalesce(F.sum("_revenue"), F.lit(0).cast("bigint")).alias("_revenue"),
         )
     )
-    segments = one_profile_per_zip(enrichment).join(
-        enrichment.groupBy("zip_code").agg(F.count(F.lit(1)).alias("_e")), "zip_code"
-    )
+    segments = one_profile_per_zip(enrichment)
     recent = (
         weather.where(F.col("weather_date") >= F.date_sub(as_date(as_of), 30))
         .groupBy("zip_code")
@@ -81,7 +79,7 @@ def geo_targeting(
             sum_cents("snowfall_in").alias("_snow"),
         )
     )
-    e, w = (F.coalesce("_e", one), F.coalesce("_w", one)) if mode == "joined" else (one, one)
+    e, w = (F.coalesce("zip_records", one), F.coalesce("_w", one)) if mode == "joined" else (one, one)
     o = F.col("_order_rows") if mode == "joined" else one
     return (
         base.join(segments, "zip_code", "left")
@@ -102,8 +100,8 @@ def geo_targeting(
 
 def geo_profiles(targeting: DataFrame) -> DataFrame:
     """Opportunity score 0.4 value, 0.3 density, 0.3 revenue share, and recommendations."""
-    top = targeting.agg(F.max("total_revenue").alias("_top"))
-    revenue_share = F.try_divide(F.coalesce("total_revenue", F.lit(0.0)), F.col("_top"))
+    top = targeting.agg(F.max("total_revenue")).scalar()
+    revenue_share = F.try_divide(F.coalesce("total_revenue", F.lit(0.0)), top)
     score = (
         F.coalesce("avg_ltv", F.lit(0.0)) / F.lit(3000.0) * F.lit(0.4)
         + F.least(F.col("customer_count"), F.lit(100)) / F.lit(100.0) * F.lit(0.3)
@@ -121,8 +119,7 @@ def geo_profiles(targeting: DataFrame) -> DataFrame:
         .when(F.coalesce("avg_ltv", F.lit(0.0)) > 1500, "email")
         .otherwise("search")
     )
-    # a global aggregate is always exactly one row, so this is a scalar lookup
-    return targeting.crossJoin(F.broadcast(top)).select(
+    return targeting.select(
         *targeting.columns,
         F.round(score, 3).alias("targeting_score"),
         category.alias("weather_recommended_category"),
@@ -181,9 +178,8 @@ def geo_map_points(rollup: DataFrame, centres: dict[str, tuple[float, float]] |
         F.lit(x) for code, (lat, lon) in places.items() for x in (code, F.array(F.lit(lat), F.lit(lon)))
     ])
     spot = F.coalesce(F.try_element_at(lookup, F.col("state")), F.array(*[F.lit(x) for x in DEFAULT_CENTRE]))
-    top = rollup.agg(F.max("total_revenue").alias("_top"))
-    radius = F.try_divide(F.col("total_revenue"), F.col("_top")) * 120000
-    return rollup.crossJoin(F.broadcast(top)).select(
+    radius = F.try_divide(F.col("total_revenue"), rollup.agg(F.max("total_revenue")).scalar()) * 120000
+    return rollup.select(
         *rollup.columns,
         F.get(spot, F.lit(0)).alias("lat"),
         F.get(spot, F.lit(1)).alias("lon"),

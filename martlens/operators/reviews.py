@@ -132,13 +132,12 @@ def theme_terms(reviews: DataFrame, by: str = "channel", k: int = 10) -> DataFra
     The rank filter is applied per partition before the shuffle, so a group with
     a very large vocabulary sends at most ``k`` rows per task.
     """
-    n = reviews.agg(F.count(F.lit(1)).alias("_n"))
+    n = reviews.agg(F.count(F.lit(1))).scalar()
     everywhere = Window.partitionBy("term")  # one row per group
     scored = (
         term_counts(reviews, by)
         .withColumn("_df", F.sum("df").over(everywhere))
-        .crossJoin(F.broadcast(n))  # a global count, one row
-        .select(by, "term", "tf", F.round(F.col("tf") * F.log(F.col("_n") / F.col("_df")), 4).alias("score"))
+        .select(by, "term", "tf", F.round(F.col("tf") * F.log(n / F.col("_df")), 4).alias("score"))
     )
     best = Window.partitionBy(by).orderBy(F.desc("score"), F.asc("term"))
     return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
@@ -179,10 +178,9 @@ def campaign_tiers(metrics: DataFrame) -> DataFrame:
     """
     values = metrics.where(F.col("roas").isNotNull()).groupBy("roas").agg(F.count(F.lit(1)).alias("_n"))
     above = Window.orderBy(F.desc("roas")).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = (
-        values.withColumn("_above", F.coalesce(F.sum("_n").over(above), F.lit(0)))
-        .crossJoin(F.broadcast(values.agg(F.sum("_n").alias("_all"))))
-        .select("roas", F.coalesce(F.try_divide(F.col("_above"), F.col("_all") - 1), F.lit(0.0)).alias("_pr"))
+    rated = values.agg(F.sum("_n")).scalar()
+    ranks = values.withColumn("_above", F.coalesce(F.sum("_n").over(above), F.lit(0))).select(
+        "roas", F.coalesce(F.try_divide(F.col("_above"), rated - 1), F.lit(0.0)).alias("_pr")
     )
     top, solid, average, under, review = PERFORMANCE_TIERS
     tier = (

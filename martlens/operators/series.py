@@ -63,15 +63,15 @@ def train_holdout_split(daily: DataFrame, cutoff: dt.date | str) -> tuple[DataFr
 def densify(daily: DataFrame) -> DataFrame:
     """Every day between a series' first and last day; missing days become 0.
 
-    A series is rebuilt from its own array of days (bounded by the calendar), so
-    the gaps cost no join.
+    Each row is stretched up to the day before the series' next row, so the gaps
+    cost no join, and the one shuffle by series serves the later windows too.
     """
-    spans = daily.groupBy("series").agg(
-        F.min("ds").alias("_a"), F.max("ds").alias("_b"), F.map_from_entries(F.collect_list(F.struct("ds", "y"))).alias("_y")
-    )
-    days = F.sequence(F.col("_a"), F.col("_b"))
-    return spans.select("series", "_y", F.explode(days).alias("ds")).select(
-        "series", "ds", F.coalesce(F.try_element_at("_y", F.col("ds")), F.lit(0.0)).alias("y")
+    following = F.lead("ds").over(Window.partitionBy("series").orderBy("ds"))
+    stretch = F.sequence(F.col("ds"), F.coalesce(F.date_sub("_next", 1), F.col("ds")))
+    return (
+        daily.select("series", "ds", "y", following.alias("_next"))
+        .select("series", "y", F.col("ds").alias("_ds"), F.explode(stretch).alias("ds"))
+        .select("series", "ds", F.when(F.col("ds") == F.col("_ds"), F.coalesce("y", F.lit(0.0))).otherwise(F.lit(0.0)).alias("y"))
     )
 
 

@@ -72,7 +72,7 @@ def market_tables(
         "conversions": lambda: attribution.conversions_with_touches(
             t["orders"], t["spend"], t["campaigns"], window_days),
         "journey_stats": lambda: attribution.mta_journeys(t["conversions"]),
-        "attribution_summary": lambda: attribution.attr_summary(attribution.credits(t["conversions"])),
+        "attribution_summary": lambda: attribution.attr_summary(t["conversions"]),
         # forecasts and anomalies
         "forecasts": lambda: series.forecast(series.total_series(t["forecast_input"]), "total_revenue", cutoff)
         .unionByName(series.forecast(t["forecast_input"], "product_channel", cutoff))

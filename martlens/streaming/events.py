@@ -104,18 +104,11 @@ def whole(
     """
     streamed = windows(read_stream(spark, folder))
     closed = spark.read.schema(streamed.schema).parquet(run_to_table(streamed, name))
-    last = closed.agg(F.max(start).alias("_last"))  # one row
-    recent = (
-        spark.read.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(folder)
-        .crossJoin(F.broadcast(last))
-        .where(F.col("_last").isNull() | (F.to_date("ts") > F.col("_last")))
-        .drop("_last")
-    )
-    open_windows = (
-        windows(recent).crossJoin(F.broadcast(last))
-        .where(F.col("_last").isNull() | (F.col(start) > F.col("_last")))
-        .drop("_last")
-    )
+    last = closed.agg(F.max(start))
+    batch = spark.read.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(folder)
+    recent = batch.where(last.scalar().isNull() | (F.to_date("ts") > last.scalar()))
+    opened = windows(recent)
+    open_windows = opened.where(last.scalar().isNull() | (F.col(start) > last.scalar()))
     return closed.unionByName(open_windows)
 
 

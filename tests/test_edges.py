@@ -96,9 +96,8 @@ def test_order_without_touches_is_absent(spark):
 
 def test_summary_counts_distinct_orders_either_way(spark):
     conv = _touch_rows(spark, [(1, "email", "2026-01-01"), (2, "social", "2026-01-02")], [order(1, "2026-01-03"), order(2, "2026-01-03")])
-    rows = attr.credits(conv)
-    a = sorted(map(tuple, attr.attr_summary(rows).collect()))
-    b = sorted(map(tuple, attr.attr_summary(rows, order_ids_unique=False).collect()))
+    a = sorted(map(tuple, attr.attr_summary(conv).collect()))
+    b = sorted(map(tuple, attr.attr_summary(conv, order_ids_unique=False).collect()))
     assert a == b and len(a) == 2 * 3 + 2
 
 
@@ -258,7 +257,7 @@ def test_empty_input_keeps_schema(spark):
     conv = attr.conversions_with_touches(orders, spend, campaigns)
     frames = [
         kpi.daily_revenue(orders), kpi.product_revenue(orders), kpi.forecast_input(orders), kpi.spend_daily(spend),
-        kpi.campaign_metrics(campaigns, spend, orders), attr.credits(conv), attr.attr_summary(attr.credits(conv)),
+        kpi.campaign_metrics(campaigns, spend, orders), attr.credits(conv), attr.attr_summary(conv),
         mmm.mmm_weekly(mmm.mmm_weighted(kpi.spend_daily(spend), kpi.daily_revenue(orders))), spine.campaign_days(campaigns),
         reviews.review_sentiment(empty(spark, "product_reviews")), reviews.channel_themes(empty(spark, "product_reviews")),
         enrich.customer_enriched(empty(spark, "customers"), enrichment(spark, []), orders, d("2026-01-01")),
