@@ -10,10 +10,41 @@ from pyspark.sql import functions as F
 
 from martlens.functions.calendar import as_date, month_boundaries, month_start
 from martlens.functions.joins import join_lookup
+from martlens.functions.ladders import first_flag, first_match
 from martlens.functions.money import cents, ratio, sum_cents, sum_usd, usd
 
 PROFILE = ("income_bracket", "lifestyle_segment", "outdoor_interest")
 
+# Segment labels and the lifestyle flags that lead to them, first match wins.
+LIFESTYLES = (
+    ("Travel Enthusiast", ("travel", "travel_domestic")),
+    ("Health & Fitness", ("health_fitness", "exercise_health_grouping")),
+    ("Outdoor Adventurer", ("outdoor", "outdoor_sport_recreation")),
+    ("Sports Fan", ("sports_grouping", "sports_and_leisure")),
+    ("Home & Garden", ("home_and_garden", "home_improvement")),
+)
+NO_LIFESTYLE = "General Consumer"
+OUTDOOR_INTERESTS = (
+    ("Camping/Hiking", ("camping_hiking",)),
+    ("Hunting/Fishing", ("hunting_shooting", "fishing")),
+    ("Snow Sports", ("snow_skiing",)),
+    ("General Outdoor", ("outdoor", "outdoor_sport_recreation")),
+)
+NO_INTEREST = "None Identified"
+
+# Temperature bands, age groups and value tiers, first match wins.
+TEMPERATURE_BANDS = (
+    ("national_avg_temp_f", "<", 32, "freezing"),
+    ("national_avg_temp_f", "<", 50, "cold"),
+    ("national_avg_temp_f", "<", 70, "mild"),
+    ("national_avg_temp_f", "<", 85, "warm"),
+)
+HOTTEST = "hot"
+AGE_GROUPS = ((18, 24), (25, 34), (35, 44), (45, 54))
+OTHER_AGES = "55+"
+VALUE_TIERS = (("lifetime_value", ">=", 2000, "high_value"), ("lifetime_value", ">=", 500, "mid_value"))
+LOWEST_TIER = "low_value"
+
 
 def indicator_pivot(
     series: DataFrame, variables: Mapping[str, str], geo_id: str, since: dt.date | str
@@ -30,35 +61,13 @@ def indicator_pivot(
     )
 
 
-def _any_single(*flags: str) -> Column:
-    hit = F.lit(False)
-    for flag in flags:
-        hit = hit | (F.col(flag) == "Single")
-    return hit
-
-
 def segment_ladder(records: DataFrame) -> DataFrame:
     """Zip code, income bracket and the two first-match segments of each household record."""
-    lifestyle = (
-        F.when(_any_single("travel", "travel_domestic"), "Travel Enthusiast")
-        .when(_any_single("health_fitness", "exercise_health_grouping"), "Health & Fitness")
-        .when(_any_single("outdoor", "outdoor_sport_recreation"), "Outdoor Adventurer")
-        .when(_any_single("sports_grouping", "sports_and_leisure"), "Sports Fan")
-        .when(_any_single("home_and_garden", "home_improvement"), "Home & Garden")
-        .otherwise("General Consumer")
-    )
-    outdoor = (
-        F.when(_any_single("camping_hiking"), "Camping/Hiking")
-        .when(_any_single("hunting_shooting", "fishing"), "Hunting/Fishing")
-        .when(_any_single("snow_skiing"), "Snow Sports")
-        .when(_any_single("outdoor", "outdoor_sport_recreation"), "General Outdoor")
-        .otherwise("None Identified")
-    )
     return records.select(
         F.substring(F.trim("zip"), 1, 5).alias("zip_code"),
         F.col("estimated_household_income").alias("income_bracket"),
-        lifestyle.alias("lifestyle_segment"),
-        outdoor.alias("outdoor_interest"),
+        first_flag(LIFESTYLES, NO_LIFESTYLE).alias("lifestyle_segment"),
+        first_flag(OUTDOOR_INTERESTS, NO_INTEREST).alias("outdoor_interest"),
     )
 
 
@@ -167,16 +176,12 @@ def weather_revenue(daily: DataFrame, national: DataFrame) -> DataFrame:
     A day without weather falls through the ladder to 'hot' and is neither
     rainy nor snowy, which is the defined behaviour.
     """
-    temp = F.col("national_avg_temp_f")
-    band = (
-        F.when(temp < 32, "freezing").when(temp < 50, "cold").when(temp < 70, "mild").when(temp < 85, "warm").otherwise("hot")
-    )
     return daily.join(national, daily["order_date"] == national["weather_date"], "left").select(
         *[daily[c] for c in daily.columns],
         "national_avg_temp_f",
         "national_precipitation_in",
         "national_snowfall_in",
-        band.alias("temp_band"),
+        first_match(TEMPERATURE_BANDS, HOTTEST).alias("temp_band"),
         F.coalesce(F.col("national_precipitation_in") > 0.5, F.lit(False)).alias("rainy_day"),
         F.coalesce(F.col("national_snowfall_in") > 1.0, F.lit(False)).alias("snow_day"),
     )
@@ -221,12 +226,9 @@ def customer_enriched(
       of equal records in ``profile_rows`` (for aggregates, see ``clv``);
     * ``"one"``: exactly one row per customer.
     """
-    age, value = F.col("age"), F.col("lifetime_value")
-    age_group = (
-        F.when(age.between(18, 24), "18-24").when(age.between(25, 34), "25-34")
-        .when(age.between(35, 44), "35-44").when(age.between(45, 54), "45-54").otherwise("55+")
-    )
-    value_tier = F.when(value >= 2000, "high_value").when(value >= 500, "mid_value").otherwise("low_value")
+    age_group = F.lit(OTHER_AGES)
+    for low, high in reversed(AGE_GROUPS):
+        age_group = F.when(F.col("age").between(low, high), f"{low}-{high}").otherwise(age_group)
     known = customers.join(customer_orders(orders), "customer_id", "left")
     side = one_profile_per_zip(enrichment) if profiles == "one" else zip_profiles(enrichment)
     joined = join_lookup(known, side, ["zip_code"], "left", salt_on=["customer_id"])
@@ -249,7 +251,7 @@ def customer_enriched(
         "lifetime_value",
         "signup_date",
         age_group.alias("age_group"),
-        value_tier.alias("value_tier"),
+        first_match(VALUE_TIERS, LOWEST_TIER).alias("value_tier"),
         *PROFILE,
         "total_orders",
         usd("_revenue").alias("total_revenue"),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlens.functions.calendar import as_date
+from martlens.functions.ladders import first_match
 from martlens.functions.money import cents, ratio, sum_cents, usd
 from martlens.operators.enrich import PROFILE, one_profile_per_zip
 
@@ -26,6 +27,33 @@ STATE_CENTRES = {
 }
 DEFAULT_CENTRE = (39.83, -98.58)
 
+# Weather actions, first match wins.
+TRIGGERS = (
+    ("recent_total_snowfall", ">", 10, "BLIZZARD ALERT — Push winter gear promos"),
+    ("recent_total_snowfall", ">", 5, "SNOW ADVISORY — Promote ski & outerwear"),
+    ("recent_total_precip", ">", 5, "HEAVY RAIN — Promote waterproof footwear"),
+    ("recent_total_precip", ">", 2, "RAIN ALERT — Promote rain gear & footwear"),
+    ("recent_avg_temp", ">", 90, "HEAT WAVE — Promote cooling & hydration gear"),
+    ("recent_avg_temp", ">", 80, "HOT WEATHER — Promote summer & camping gear"),
+    ("recent_avg_temp", "<", 20, "EXTREME COLD — Promote insulated outerwear"),
+    ("recent_avg_temp", "<", 35, "COLD SNAP — Promote layering & winter accessories"),
+)
+NO_TRIGGER = "NO TRIGGER"
+
+# Product category to push by weather, and channel by size and value, first match wins.
+WEATHER_CATEGORIES = (
+    ("recent_total_snowfall", ">", 5, "winter_sports"),
+    ("recent_avg_temp", ">", 75, "camping"),
+    ("recent_avg_temp", "<", 40, "outerwear"),
+    ("recent_total_precip", ">", 3, "footwear"),
+)
+OTHER_CATEGORY = "accessories"
+CHANNELS = (("customer_count", ">=", 10, "social"), ("avg_ltv", ">", 1500, "email"))
+OTHER_CHANNEL = "search"
+
+# What a missing measure counts as.
+MISSING = {"recent_avg_temp": 60.0, "recent_total_snowfall": 0.0, "recent_total_precip": 0.0, "avg_ltv": 0.0}
+
 
 def geo_targeting(
     customers: DataFrame,
@@ -107,51 +135,25 @@ def geo_profiles(targeting: DataFrame) -> DataFrame:
         + F.least(F.col("customer_count"), F.lit(100)) / F.lit(100.0) * F.lit(0.3)
         + revenue_share * F.lit(0.3)
     )
-    temp = F.coalesce("recent_avg_temp", F.lit(60.0))
-    snow = F.coalesce("recent_total_snowfall", F.lit(0.0))
-    rain = F.coalesce("recent_total_precip", F.lit(0.0))
-    category = (
-        F.when(snow > 5, "winter_sports").when(temp > 75, "camping").when(temp < 40, "outerwear")
-        .when(rain > 3, "footwear").otherwise("accessories")
-    )
-    channel = (
-        F.when(F.col("customer_count") >= 10, "social")
-        .when(F.coalesce("avg_ltv", F.lit(0.0)) > 1500, "email")
-        .otherwise("search")
-    )
     return targeting.select(
         *targeting.columns,
         F.round(score, 3).alias("targeting_score"),
-        category.alias("weather_recommended_category"),
-        channel.alias("recommended_channel"),
+        first_match(WEATHER_CATEGORIES, OTHER_CATEGORY, MISSING).alias("weather_recommended_category"),
+        first_match(CHANNELS, OTHER_CHANNEL, MISSING).alias("recommended_channel"),
     )
 
 
 def geo_triggers(targeting: DataFrame) -> DataFrame:
     """First matching weather action of each zip."""
-    temp = F.coalesce("recent_avg_temp", F.lit(60.0))
-    snow = F.coalesce("recent_total_snowfall", F.lit(0.0))
-    rain = F.coalesce("recent_total_precip", F.lit(0.0))
-    action = (
-        F.when(snow > 10, "BLIZZARD ALERT — Push winter gear promos")
-        .when(snow > 5, "SNOW ADVISORY — Promote ski & outerwear")
-        .when(rain > 5, "HEAVY RAIN — Promote waterproof footwear")
-        .when(rain > 2, "RAIN ALERT — Promote rain gear & footwear")
-        .when(temp > 90, "HEAT WAVE — Promote cooling & hydration gear")
-        .when(temp > 80, "HOT WEATHER — Promote summer & camping gear")
-        .when(temp < 20, "EXTREME COLD — Promote insulated outerwear")
-        .when(temp < 35, "COLD SNAP — Promote layering & winter accessories")
-        .otherwise("NO TRIGGER")
-    )
     return targeting.select(
         "state", "zip_code", "customer_count", "recent_avg_temp", "recent_total_precip", "recent_total_snowfall",
-        action.alias("trigger_action"),
+        first_match(TRIGGERS, NO_TRIGGER, MISSING).alias("trigger_action"),
     )
 
 
 def trigger_counts(triggers: DataFrame) -> DataFrame:
     return (
-        triggers.where(F.col("trigger_action") != "NO TRIGGER")
+        triggers.where(F.col("trigger_action") != NO_TRIGGER)
         .groupBy("trigger_action")
         .agg(F.count(F.lit(1)).alias("zip_count"))
     )

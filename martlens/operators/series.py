@@ -11,6 +11,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -266,6 +267,11 @@ def rolling_zscore(daily: DataFrame, window_days: int = 28, threshold: float = 3
     )
 
 
+def _half_up(values: np.ndarray) -> np.ndarray:
+    """Two decimals, halves up; numpy's own rounding takes halves to the even digit."""
+    return np.floor(values * 100 + 0.5000001) / 100
+
+
 def naive_seasonal(history: pd.DataFrame, periods: int) -> pd.DataFrame:
     """Example of a pluggable model: the mean of the same weekday over the last four weeks."""
     history = history.sort_values("ds")
@@ -279,9 +285,9 @@ def naive_seasonal(history: pd.DataFrame, periods: int) -> pd.DataFrame:
     return pd.DataFrame({
         "series": history["series"].iloc[0],
         "ts": ahead,
-        "forecast": level.round(2),
-        "lower_bound": (level - half).round(2),
-        "upper_bound": (level + half).round(2),
+        "forecast": _half_up(level),
+        "lower_bound": _half_up(level - half),
+        "upper_bound": _half_up(level + half),
     })
 
 
