@@ -103,20 +103,25 @@ def touches_by_customer_day(
     sub-channel first, so a window partition is bounded by the calendar even
     for a customer with a third of all rows.
     """
-    days = converting_days(spend, campaigns, by_customer=True).withColumn("_order", F.lit(False))
-    channels = days.select("customer_id", "sub_channel").distinct()
-    probes = (
-        order_days.select("customer_id", F.col("order_date").alias("day"))
-        .join(channels, "customer_id")
-        .select("customer_id", "day", "sub_channel", F.lit(None).cast("bigint").alias("_spend"), F.lit(True).alias("_order"))
+    spent = converting_days(spend, campaigns, by_customer=True).select(
+        "customer_id", "day", "sub_channel", "_spend", F.lit(False).alias("_order")
     )
+    ordered = order_days.select(
+        "customer_id", F.col("order_date").alias("day"), F.lit(None).cast("string").alias("sub_channel"),
+        F.lit(None).cast("bigint").alias("_spend"), F.lit(True).alias("_order"),
+    )
+    # one shuffle by customer serves all three steps: an order day is repeated for each of
+    # the customer's sub-channels, then looks back over the spend days of that sub-channel
+    known = F.collect_set("sub_channel").over(Window.partitionBy("customer_id"))
+    probes = F.when(F.col("_order"), F.col("_known")).otherwise(F.array("sub_channel"))
     span = (
         Window.partitionBy("customer_id", "sub_channel").orderBy(F.unix_date("day")).rangeBetween(-window_days, 0)
     )
     touch_day = F.when(~F.col("_order"), F.col("day"))
     reached = (
-        days.select("customer_id", "day", "sub_channel", "_spend", "_order")
-        .unionByName(probes)
+        spent.unionByName(ordered)
+        .withColumn("_known", known)
+        .select("customer_id", "day", "_spend", "_order", F.explode_outer(probes).alias("sub_channel"))
         .select(
             "customer_id", "sub_channel", "day", "_order",
             F.min(touch_day).over(span).alias("first_touch_date"),
