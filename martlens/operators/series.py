@@ -9,10 +9,12 @@ aggregates for all series at once; there is no loop over series.
 from __future__ import annotations
 
 import datetime as dt
+import sys
 from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +26,9 @@ Z_SCORES = {0.90: 1.6448536269514722, 0.95: 1.959963984540054, 0.99: 2.575829303
 FORECAST_LEVEL = 0.95
 ANOMALY_LEVEL = 0.99
 
+# The pandas model travels to the workers by value, so they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def total_series(daily: DataFrame, name: str = "Total") -> DataFrame:
     """All series of a day summed into one."""

@@ -82,3 +82,17 @@ def test_pandas_model_is_pluggable(spark):
 def test_rolling_score_needs_a_full_window(spark):
     rows = series.rolling_zscore(_daily(spark, [1, 2, 1, 2, 50]), 4, 3.0).orderBy("ds").collect()
     assert [r.zscore is None for r in rows] == [True] * 4 + [False] and rows[-1].is_outlier
+
+
+def test_pandas_model_reaches_workers_without_the_package(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    code = "import pickle, sys; print(pickle.loads(sys.stdin.buffer.read()).__name__)"
+    done = subprocess.run(
+        [sys.executable, "-c", code], input=cloudpickle.dumps(series.naive_seasonal), cwd=tmp_path, env=env, capture_output=True)
+    assert done.returncode == 0, done.stderr.decode()[-500:]
