@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes worked on at once.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 _U = np.uint64
 

@@ -6,12 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlens.llm import langid, pii, toxicity
+from martlens.llm import langid, pii, tokens, toxicity
 from martlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: Vocabulary file of the token queries.
+VOCABULARY = "word_bpe_49k.json"
+
+
+def op2_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokens.token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(table(spark, sf_dir, "documents"))
 
@@ -26,5 +36,5 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op3_pii, op4_toxicity, op9_langid)
+    for f in (op2_tokens, op3_pii, op4_toxicity, op9_langid)
 }
