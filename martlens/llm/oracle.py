@@ -1,3 +1,38 @@
 """DuckDB text for the queries of this subpackage that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+from __future__ import annotations
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _words(text: str, separators: str) -> str:
+    """List of the words of a lower-cased text; null has none."""
+    return (f"list_filter(regexp_split_to_array(translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}'), '{separators}'), "
+            "lambda w: w <> '')")
+
+
+ORACLE: dict[str, str] = {
+    "op1_minhash": f"""
+WITH RECURSIVE
+w AS (SELECT doc_id, {_words("text", "[\\x20\\x09-\\x0D]+")} AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE
+    WHEN len(w) = 0 THEN []
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s
+  FROM w),
+shingle AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+link AS (
+  SELECT a.doc_id AS i, b.doc_id AS j
+  FROM shingle a JOIN shingle b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id
+  HAVING 100 * count(*) >= 85 * (max(a.n) + max(b.n) - count(*))),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.doc_id, l.j FROM reach r JOIN link l ON l.i = r.other),
+component AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
+FROM s JOIN component c USING (doc_id)
+""",
+}

@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlens.llm import langid, pii, tokens, toxicity
+from martlens.llm import langid, minhash, pii, tokens, toxicity
 from martlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_groups(table(spark, sf_dir, "documents"), percent=85)
+
+
 #: Vocabulary file of the token queries.
 VOCABULARY = "word_bpe_49k.json"
 
@@ -36,5 +40,5 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op2_tokens, op3_pii, op4_toxicity, op9_langid)
+    for f in (op1_minhash, op2_tokens, op3_pii, op4_toxicity, op9_langid)
 }
