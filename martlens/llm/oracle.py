@@ -34,5 +34,24 @@ reach(doc_id, other) AS (
 component AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
 FROM s JOIN component c USING (doc_id)
+""",
+    "op8_decontaminate": f"""
+WITH
+d AS (SELECT doc_id, {_words("text", "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+")} AS w FROM documents),
+i AS (SELECT item_id::VARCHAR AS item_id, {_words("text", "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+")} AS v FROM benchmark),
+iw AS (
+  SELECT DISTINCT item_id, n, unnest([array_to_string(v[k:k + n - 1], ' ') FOR k IN range(1, len(v) - n + 2)]) AS x
+  FROM (SELECT *, least(10, len(v)) AS n FROM i WHERE len(v) > 0 AND item_id IS NOT NULL)),
+dw AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS p, unnest([array_to_string(w[k:k + n - 1], ' ') FOR k IN range(1, len(w) - n + 2)]) AS x
+  FROM d, (SELECT DISTINCT n FROM iw) WHERE len(w) >= n),
+occ AS (SELECT doc_id, item_id, p, n FROM dw JOIN iw USING (n, x)),
+hit AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(p, p + n)) AS q FROM occ) GROUP BY doc_id),
+found AS (
+  SELECT doc_id, count(*) AS n_items, sha256(string_agg(item_id, ',' ORDER BY item_id)) AS items_sha256
+  FROM (SELECT DISTINCT doc_id, item_id FROM occ) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)
 """,
 }
