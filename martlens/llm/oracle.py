@@ -53,5 +53,35 @@ found AS (
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
   coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)
+""",
+    "op6_mixing": """
+WITH RECURSIVE
+docs AS (SELECT doc_id, coalesce(source, '(none)') AS source, sha256(doc_id::VARCHAR) AS h FROM documents),
+w AS (SELECT source, floor(pow(count(*), 0.5) * 1000)::BIGINT AS w FROM docs GROUP BY source),
+f AS (SELECT greatest(1000, 4 * count(*))::BIGINT AS frame, count(*) AS n, sum(w)::BIGINT AS total FROM w),
+base AS (
+  SELECT source, 1 + (frame - n) * w // total AS q, frame,
+    row_number() OVER (ORDER BY (frame - n) * w % total DESC, source) AS place,
+    frame - sum(1 + (frame - n) * w // total) OVER () AS spare
+  FROM w, f),
+share AS (SELECT source, (q + (place <= spare)::INT)::BIGINT AS q, frame FROM base),
+q AS (SELECT list(q ORDER BY source) AS q, list(source ORDER BY source) AS name, max(frame) AS frame FROM share),
+edf AS (
+  SELECT 0::BIGINT AS slot, list_transform(q, lambda x: 0::BIGINT) AS done, NULL::BIGINT AS pick, NULL::BIGINT AS turn FROM q
+  UNION ALL
+  SELECT slot + 1, list_transform(done, lambda x, i: x + (i = best.i)::BIGINT), best.i, done[best.i]
+  FROM (
+    SELECT slot, done, list_min(list_filter(
+      list_transform(done, lambda x, i: {'due': ((x + 1) * frame + q[i] - 1) // q[i], 'i': i, 'ready': x < q[i] AND x * frame // q[i] <= slot}),
+      lambda c: c.ready)) AS best
+    FROM edf, q WHERE slot < frame)),
+frame_plan AS (
+  SELECT name[pick] AS source, turn, slot - 1 AS slot, turn * frame // q[pick] AS release, ((turn + 1) * frame + q[pick] - 1) // q[pick] AS deadline
+  FROM edf, q WHERE pick IS NOT NULL),
+ranked AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY h, doc_id) - 1 AS r FROM docs)
+SELECT doc_id, source, r // 16 AS block, r % 16 AS place,
+  r // 16 // q * frame + slot AS slot, r // 16 // q * frame + release AS release, r // 16 // q * frame + deadline AS deadline
+FROM ranked JOIN share USING (source) JOIN frame_plan p USING (source)
+WHERE p.turn = r // 16 % q
 """,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlens.llm import decontam, langid, minhash, pii, tokens, toxicity
+from martlens.llm import decontam, langid, minhash, mixing, pii, tokens, toxicity
 from martlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_table(table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -44,5 +48,5 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_minhash, op2_tokens, op3_pii, op4_toxicity, op8_decontaminate, op9_langid)
+    for f in (op1_minhash, op2_tokens, op3_pii, op4_toxicity, op6_mixing, op8_decontaminate, op9_langid)
 }
