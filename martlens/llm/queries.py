@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlens.llm import decontam, langid, minhash, mixing, pii, tokens, toxicity
+from martlens.llm import decontam, langid, minhash, mixing, pii, simhash, tokens, toxicity
 from martlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,7 +46,11 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(table(spark, sf_dir, "documents"))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.fingerprint_table(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_minhash, op2_tokens, op3_pii, op4_toxicity, op6_mixing, op8_decontaminate, op9_langid)
+    for f in (op1_minhash, op2_tokens, op3_pii, op4_toxicity, op6_mixing, op8_decontaminate, op9_langid, op10_simhash)
 }
