@@ -7,6 +7,7 @@ file with the same content.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable, Iterator
 
 from pyarrow import fs
 
@@ -43,3 +44,19 @@ def read_range(uri: str, offset: int, length: int) -> bytes:
     where, path = _open(uri)
     with where.open_input_file(path) as source:
         return source.read_at(length, offset)
+
+
+def read_ranges(ranges: Iterable[tuple[str, int, int]]) -> Iterator[bytes]:
+    """The bytes of (file, offset, length) one after the other; neighbours in one file share the open file."""
+    name, source = None, None
+    try:
+        for uri, offset, length in ranges:
+            if uri != name:
+                if source:
+                    source.close()
+                where, path = _open(uri)
+                name, source = uri, where.open_input_file(path)
+            yield source.read_at(length, offset)
+    finally:
+        if source:
+            source.close()

@@ -83,5 +83,15 @@ SELECT doc_id, source, r // 16 AS block, r % 16 AS place,
   r // 16 // q * frame + slot AS slot, r // 16 // q * frame + release AS release, r // 16 // q * frame + deadline AS deadline
 FROM ranked JOIN share USING (source) JOIN frame_plan p USING (source)
 WHERE p.turn = r // 16 % q
+""",
+    "op5_warc": """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest,
+    min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id
+  FROM pages)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM p
 """,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlens.llm import decontam, langid, minhash, mixing, pii, simhash, tokens, toxicity
+from martlens.llm import decontam, langid, minhash, mixing, pii, simhash, tokens, toxicity, warc
 from martlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_table(table(spark, sf_dir, "documents"))
 
@@ -52,5 +56,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_minhash, op2_tokens, op3_pii, op4_toxicity, op6_mixing, op8_decontaminate, op9_langid, op10_simhash)
+    for f in (op1_minhash, op2_tokens, op3_pii, op4_toxicity, op5_warc, op6_mixing, op8_decontaminate, op9_langid, op10_simhash)
 }
