@@ -93,5 +93,22 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
 FROM p
+""",
+    "op7_substrings": """
+WITH
+d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+win AS (
+  SELECT doc_id, unnest(range(1, len(w) - 33)) AS p, unnest([array_to_string(w[k:k + 34], ' ') FOR k IN range(1, len(w) - 33)]) AS x
+  FROM d WHERE len(w) >= 35),
+again AS (SELECT doc_id, p FROM win WHERE x IN (SELECT x FROM win GROUP BY x HAVING count(*) > 1)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 35)) AS q FROM again),
+word AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS q FROM d),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY q) AS text
+  FROM word ANTI JOIN gone USING (doc_id, q) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, (len(d.w) - coalesce(k.n, 0))::BIGINT AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept k USING (doc_id)
 """,
 }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlens.llm import decontam, langid, minhash, mixing, pii, simhash, tokens, toxicity, warc
+from martlens.llm import decontam, langid, minhash, mixing, pii, simhash, substrings, tokens, toxicity, warc
 from martlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_table(table(spark, sf_dir, "documents"))
 
 
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -56,5 +60,6 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_minhash, op2_tokens, op3_pii, op4_toxicity, op5_warc, op6_mixing, op8_decontaminate, op9_langid, op10_simhash)
+    for f in (op1_minhash, op2_tokens, op3_pii, op4_toxicity, op5_warc, op6_mixing, op7_substrings, op8_decontaminate,
+              op9_langid, op10_simhash)
 }
