@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import partial
 
@@ -31,7 +32,8 @@ REVIEW_WORDS = {
     "positive": td.TEST_POSITIVE, "negative": td.TEST_NEGATIVE, "feedback": td.TEST_FEEDBACK,
     "competitors": td.TEST_BRANDS, "recommend": td.TEST_RECOMMEND, "discourage": td.TEST_DISCOURAGE,
 }
-WHAT_IF_EVENTS = (("wholesale", "2024-01-15", "2024-01-26", 5.0), ("DTC", "2024-01-03", "2024-01-08", 3.5))
+WHAT_IF_SEASONS = {1: 1.15, 2: 0.9, 7: 0.8}
+WHAT_IF_EVENTS = (("wholesale", "2024-01-09", "2024-01-12", 1.5), ("DTC", "2024-01-20", "2024-01-22", 1.25))
 WHAT_IF_PRICES = {"outerwear": 1.1, "camping": 0.95}
 
 
@@ -174,7 +176,8 @@ def survey(approximate: bool) -> Query:
 def daily_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """Load the orders up to a day, let the rest and some corrections arrive, refresh their days."""
     orders = td.orders_events(spark, sf)
-    late = (F.col("order_date") >= cal.as_date("2024-01-25")) | (F.col("order_id") % 10 == 0)
+    corrected = F.col("order_date").isin(dt.date(2024, 1, 5), dt.date(2024, 1, 12)) & (F.col("order_id") % 10 == 0)
+    late = (F.col("order_date") >= cal.as_date("2024-01-29")) | corrected
     path = new_table_path(spark, "daily")
     refresh.initial_load(orders.where(~late), path)
     refresh.refresh_days(orders, orders.where(late), path)
@@ -188,7 +191,7 @@ def merged_partials(t: LazyTables) -> DataFrame:
 
 
 def date_spine(spark: SparkSession, sf: str) -> DataFrame:
-    return spine.series_spine(td.orders_star(spark, sf).select("order_date"))
+    return spine.series_spine(td.order_heads(spark, sf))
 
 
 def forecast_total(t: LazyTables) -> DataFrame:
@@ -274,8 +277,8 @@ QUERIES: dict[str, Query] = {
     "customer_enriched_per_zip": _of(customer_per_zip, "star"),
     "segment_drilldown": _of(lambda t: enrich.segment_drilldown(t["customer_enriched"], "NATION_3"), "star"),
     "clv_tiers": _table("clv_risk", "star"),
-    "clv_summary": _of(lambda t: clv.clv_summary(t["clv_weighted"]), "star"),
-    "segment_tier_mix": _of(lambda t: clv.segment_tier_mix(t["clv_weighted"]), "star"),
+    "clv_summary": _of(lambda t: clv.clv_summary(t["clv_risk"]), "star"),
+    "segment_tier_mix": _of(lambda t: clv.segment_tier_mix(t["clv_risk"]), "star"),
     "geo_targeting": _table("geo_targeting"),
     "geo_targeting_preagg": _of(geo_preagg),
     "geo_profiles": _table("geo_profiles"),
@@ -335,7 +338,8 @@ QUERIES: dict[str, Query] = {
     "date_spine": date_spine,
     "date_spine_counts": lambda spark, sf: spine.date_spine_counts(td.orders_star(spark, sf), 50),
     "campaign_days": _of(lambda t: spine.campaign_days(t["campaigns"])),
-    "revenue_what_if": _of(lambda t: spine.revenue_what_if(t["orders"], WHAT_IF_EVENTS, WHAT_IF_PRICES)),
+    "revenue_what_if": _of(lambda t: spine.revenue_what_if(
+        t["orders"], WHAT_IF_SEASONS, WHAT_IF_EVENTS, WHAT_IF_PRICES)),
     "stable_sample": _of(lambda t: spine.stable_sample(t["orders"], "order_id", 200, 999)),
     "surrogate_key": _of(lambda t: spine.surrogate_key(
         t["spend"].select("spend_id", "spend_date", "campaign_id", "amount"),
@@ -371,6 +375,6 @@ QUERIES: dict[str, Query] = {
     # refresh and streaming
     "daily_revenue_incremental": daily_incremental,
     "merge_partials": _of(merged_partials),
-    "stream_daily_revenue": events.whole_daily_revenue,
-    "stream_weekly_spend": events.whole_weekly_spend,
+    "stream_daily_revenue": lambda spark, sf: events.whole_daily_revenue(spark, f"{sf}/events.parquet*"),
+    "stream_weekly_spend": lambda spark, sf: events.whole_weekly_spend(spark, f"{sf}/events.parquet*"),
 }

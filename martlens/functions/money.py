@@ -1,4 +1,4 @@
-"""Exact money sums and guarded ratios.
+"""Exact sums of money and of other measures, and guarded ratios.
 
 Amounts arrive as doubles holding whole cents. They are summed as ``bigint``
 cents, which is exact, independent of the order of partial sums and stays in
@@ -45,6 +45,28 @@ def avg_usd(amount: Column | str, digits: int = 2) -> Column:
     return ratio(sum_cents(amount), F.count(_col(amount)) * 100, digits)
 
 
+#: Steps in one unit of a measure that is not money.
+MEASURE_STEPS = 10**9
+
+
+def steps(measure: Column | str) -> Column:
+    """A measure in whole billionths, whose sums are exact and independent of their order."""
+    return F.rint(_col(measure).cast("double") * MEASURE_STEPS).cast("decimal(28,0)")
+
+
+def measure(whole_steps: Column | str, digits: int) -> Column:
+    """Measure as double, rounded once from its exact sum of steps."""
+    return ratio(whole_steps, F.lit(MEASURE_STEPS), digits)
+
+
+def sum_measure(value: Column | str, digits: int = 2) -> Column:
+    return measure(F.sum(steps(value)), digits)
+
+
+def avg_measure(value: Column | str, digits: int) -> Column:
+    return ratio(F.sum(steps(value)), F.count(_col(value)) * F.lit(MEASURE_STEPS), digits)
+
+
 def div0(num: Column | str, den: Column | str) -> Column:
     """Ratio that is 0 when the denominator is 0 (NULL operands stay NULL)."""
     d = _col(den).cast("double")

@@ -10,12 +10,13 @@ With ``scope="customer"`` the same table is keyed by customer and day.
 
 from __future__ import annotations
 
+import decimal
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlens.functions.joins import hot_key_join, join_lookup
 from martlens.functions.money import cents, ratio, sum_cents, sum_usd, usd
 
 MODELS = ("first_touch", "last_touch", "linear", "time_decay", "position_based")
@@ -43,20 +44,27 @@ def converting_days(
     )
 
 
-def _touch_array(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+def _touch_array(rows: DataFrame, key: Sequence[str], window_days: int) -> DataFrame:
     """One row per key: touches in sequence order, with position and total.
 
+    The weight 1 / (days + 1) of a touch is held as a whole number, over the common multiple of
+    all possible days, so that credits can be divided exactly.
+
     An array holds at most one entry per sub-channel.
     """
     listed = rows.groupBy(*key).agg(
         F.sort_array(F.collect_list(F.struct("first_touch_date", "sub_channel", "last_touch_date", "_spend"))).alias("_t")
     )
     total = F.size("_t")
+    common = math.lcm(*range(1, window_days + 2))
 
     def pull(t: Column) -> Column:
-        return F.lit(1.0) / (F.datediff(F.col("order_date"), t["first_touch_date"]) + 1)
+        days = F.datediff(F.col("order_date"), t["first_touch_date"]) + 1
+        return F.call_function("div", F.lit(decimal.Decimal(common)), days.cast("decimal(10,0)")).cast("decimal(38,0)")
+
+    none = F.lit(0).cast("decimal(38,0)")
+    pull_all = F.aggregate("_t", none, lambda acc, t: (acc + pull(t)).cast("decimal(38,0)"))
 
-    pull_all = F.aggregate("_t", F.lit(0.0), lambda acc, t: acc + pull(t))
     numbered = F.transform(
         F.col("_t"),
         lambda t, i: F.struct(
@@ -67,7 +75,8 @@ def _touch_array(rows: DataFrame, key: Sequence[str]) -> DataFrame:
             F.datediff(F.col("order_date"), t["first_touch_date"]).alias("days_to_conversion"),
             (i + 1).alias("touchpoint_sequence"),
             total.alias("total_touchpoints"),
-            (pull(t) / pull_all).alias("decay_share"),
+            pull(t).alias("decay_weight"),
+            pull_all.alias("decay_total"),
         ),
     )
     return listed.select(*key, numbered.alias("touches"))
@@ -90,7 +99,7 @@ def touches_by_day(spend: DataFrame, campaigns: DataFrame, window_days: int = 30
             F.sum("_spend").alias("_spend"),
         )
     )
-    return _touch_array(reached, ["order_date"])
+    return _touch_array(reached, ["order_date"], window_days)
 
 
 def touches_by_customer_day(
@@ -131,7 +140,7 @@ def touches_by_customer_day(
         .where(F.col("_order") & F.col("first_touch_date").isNotNull())
         .withColumnRenamed("day", "order_date")
     )
-    return _touch_array(reached, ["customer_id", "order_date"])
+    return _touch_array(reached, ["customer_id", "order_date"], window_days)
 
 
 def conversions_with_touches(
@@ -141,12 +150,12 @@ def conversions_with_touches(
     rows = orders.select(*ORDER_COLUMNS)
     if scope == "global":
         days = touches_by_day(spend, campaigns, window_days)
-        return join_lookup(rows, days, ["order_date"], "inner", salt_on=["order_id"])
+        return rows.join(days, "order_date")
     if scope == "customer":
         key = ["customer_id", "order_date"]
         counts = orders.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
         own = touches_by_customer_day(counts, spend, campaigns, window_days)
-        return hot_key_join(rows, own, key, counts, salt_on=["order_id"])
+        return rows.join(own, key)
     raise ValueError(scope)
 
 
@@ -160,7 +169,7 @@ def mta_touchpoints(
         F.col("order_date").alias("conversion_date"),
         "revenue",
         F.inline("touches"),
-    ).drop("decay_share")
+    ).drop("decay_weight", "decay_total")
 
 
 def mta_journeys(conversions: DataFrame, path: str = "alphabetical") -> DataFrame:
@@ -185,6 +194,13 @@ def mta_journeys(conversions: DataFrame, path: str = "alphabetical") -> DataFram
     )
 
 
+def _half_up(amount: Column, touch: Column) -> Column:
+    """A touch's decay share of a whole amount, rounded half away from zero, in whole numbers throughout."""
+    share, whole = touch["decay_weight"], touch["decay_total"]
+    twice = (F.abs(amount).cast("decimal(20,0)") * share * 2).cast("decimal(38,0)") + whole
+    return F.signum(amount) * F.call_function("div", twice.cast("decimal(38,0)"), (whole * 2).cast("decimal(38,0)")).cast("double")
+
+
 def _credit(model: str, touch: Column, revenue: Column) -> tuple[Column, Column]:
     """Credit in money and weight of one touch under one model."""
     seq, n = touch["touchpoint_sequence"], touch["total_touchpoints"]
@@ -195,9 +211,7 @@ def _credit(model: str, touch: Column, revenue: Column) -> tuple[Column, Column]
     if model == "linear":
         return ratio(c, n * 100, 2), ratio(F.lit(1.0), n, 4)
     if model == "time_decay":
-        share = touch["decay_share"]
-        # the nudge keeps exact halves, such as two equal touches, from rounding down by a binary remainder
-        return F.round(c * share / 100 + F.signum(c) * 1e-9, 2), F.round(share + 1e-12, 4)
+        return _half_up(cents(revenue), touch) / 100, _half_up(F.lit(10_000), touch) / 10_000
     if model == "position_based":
         # whole tenths of the credit, so that the division is made once
         edge = (seq == 1) | (seq == n)
@@ -233,31 +247,33 @@ def attribution(conversions: DataFrame, model: str) -> DataFrame:
     return credits(conversions, [model])
 
 
-def attr_summary(conversions: DataFrame, order_ids_unique: bool = True) -> DataFrame:
-    """Credit and converted orders per sub-channel and model.
+def attr_summary(conversions: DataFrame) -> DataFrame:
+    """Credit and distinct converted orders per sub-channel and model.
 
-    The models are columns while the touches are aggregated (map-side, by
-    sub-channel) and become rows only in the small result. A sub-channel touches
-    an order once, and ``order_id`` is the declared key of the orders, so
-    counting rows counts distinct orders. Pass ``order_ids_unique=False`` for an
-    orders table that does not hold its key; the ids are then deduplicated.
+    Touches are reduced to a row per sub-channel and order first, so an order id that occurs
+    twice counts once and a busy sub-channel is spread over its orders; the models are columns
+    and become rows only in the small result.
     """
     touch = F.col("_t")
     touched = conversions.select("order_id", "revenue", F.explode("touches").alias("_t"))
-    sums, rows = [], []
+    per_order, sums, rows = [], [], []
     for model in MODELS:
         amount, _ = _credit(model, touch, F.col("revenue"))
         # zero credits are dropped for the single-touch models only
         kept = amount > 0 if model in SINGLE_TOUCH else F.lit(True)
-        counted = F.count_if(kept) if order_ids_unique else F.countDistinct(F.when(kept, F.col("order_id")))
-        sums += [F.sum(F.when(kept, cents(amount))).alias(f"_{model}_c"), counted.alias(f"_{model}_n")]
+        per_order += [F.sum(F.when(kept, cents(amount))).alias(f"_{model}_c"), F.max(kept).alias(f"_{model}_k")]
+        sums += [
+            F.sum(f"_{model}_c").alias(f"_{model}_c"),
+            F.count_if(F.col(f"_{model}_k") & F.col("order_id").isNotNull()).alias(f"_{model}_n"),
+        ]
         rows.append(F.struct(
             F.lit(model).alias("model_name"),
             usd(f"_{model}_c").alias("total_attributed_revenue"),
             F.col(f"_{model}_n").alias("conversions_attributed"),
         ))
+    orders = touched.groupBy(touch["sub_channel"].alias("sub_channel"), "order_id").agg(*per_order)
     return (
-        touched.groupBy(touch["sub_channel"].alias("sub_channel")).agg(*sums)
+        orders.groupBy("sub_channel").agg(*sums)
         .select("sub_channel", F.inline(F.array(*rows)))
         .where(F.col("conversions_attributed") > 0)
     )

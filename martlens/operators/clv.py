@@ -7,6 +7,15 @@ from pyspark.sql import functions as F
 
 from martlens.functions.money import cents, ratio
 
+# Weights and scales of the churn score, and the limits of the tiers, first match wins.
+RECENCY_WEIGHT, RECENCY_DAYS = 0.6, 365.0
+FREQUENCY_WEIGHT, FREQUENT_ORDERS = 0.4, 2.0
+LOYAL = {"value": 1500, "days": 60, "risk": 0.20}
+GROWTH = {"value": 500, "orders": 3, "days": 120}
+NEW = {"orders": 2, "days": 120}
+LAPSED = {"days": 300, "risk": 0.85}
+AT_RISK = {"days": (121, 300), "risk": (0.40, 0.75)}
+
 
 def clv_tiers(enriched: DataFrame) -> DataFrame:
     """Tier and churn score of every enriched customer row.
@@ -15,18 +24,18 @@ def clv_tiers(enriched: DataFrame) -> DataFrame:
     down, so a customer without orders ends as 'Lapsed' with score 1.0.
     """
     days, orders, value = F.col("days_since_last_order"), F.col("total_orders"), F.col("lifetime_value")
-    recency = F.least(F.lit(1.0), F.coalesce(days, F.lit(365)) / F.lit(365.0))
-    frequency = F.least(F.lit(1.0), F.coalesce("orders_per_month", F.lit(0.0)) / F.lit(2.0))
-    score = F.least(
-        F.lit(1.0), F.greatest(F.lit(0.0), F.lit(0.6) * recency + F.lit(0.4) * (F.lit(1.0) - frequency))
-    )
+    recency = F.least(F.lit(1.0), F.coalesce(days, F.lit(365)) / F.lit(RECENCY_DAYS))
+    frequency = F.least(F.lit(1.0), F.coalesce("orders_per_month", F.lit(0.0)) / F.lit(FREQUENT_ORDERS))
+    weighed = F.lit(RECENCY_WEIGHT) * recency + F.lit(FREQUENCY_WEIGHT) * (F.lit(1.0) - frequency)
+    score = F.least(F.lit(1.0), F.greatest(F.lit(0.0), weighed))
     since, risk = F.coalesce(days, F.lit(999)), F.col("_score")
+    known = F.coalesce(days, F.lit(0))
     tier = (
-        F.when((value >= 1500) & (since <= 60) & (risk <= 0.20), "Loyal High-Value")
-        .when(((value >= 500) | (orders >= 3)) & (since <= 120), "Growth Potential")
-        .when((orders <= 2) & (F.coalesce(days, F.lit(0)) <= 120), "New Customer")
-        .when((since > 300) | (risk > 0.85), "Lapsed")
-        .when(since.between(121, 300) | risk.between(0.40, 0.75), "At-Risk")
+        F.when((value >= LOYAL["value"]) & (since <= LOYAL["days"]) & (risk <= LOYAL["risk"]), "Loyal High-Value")
+        .when(((value >= GROWTH["value"]) | (orders >= GROWTH["orders"])) & (since <= GROWTH["days"]), "Growth Potential")
+        .when((orders <= NEW["orders"]) & (known <= NEW["days"]), "New Customer")
+        .when((since > LAPSED["days"]) | (risk > LAPSED["risk"]), "Lapsed")
+        .when(since.between(*AT_RISK["days"]) | risk.between(*AT_RISK["risk"]), "At-Risk")
         .otherwise("Growth Potential")
     )
     weight = ["profile_rows"] if "profile_rows" in enriched.columns else []

@@ -9,9 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlens.functions.calendar import as_date, month_boundaries, month_start
-from martlens.functions.joins import join_lookup
 from martlens.functions.ladders import first_flag, first_match
-from martlens.functions.money import cents, ratio, sum_cents, sum_usd, usd
+from martlens.functions.money import avg_measure, cents, measure, ratio, steps, sum_cents, sum_measure, sum_usd, usd
 
 PROFILE = ("income_bracket", "lifestyle_segment", "outdoor_interest")
 
@@ -136,18 +135,18 @@ def survey_weighted(
     if approximate:
         # sketches merge, so the label join may follow a pure code-level aggregate
         per_code = kept.groupBy("release_year", "market_code", *codes).agg(
-            F.hll_sketch_agg("respondent_code", 14).alias("_who"), sum_cents("respondent_weight").alias("_weight")
+            F.hll_sketch_agg("respondent_code", 14).alias("_who"), F.sum(steps("respondent_weight")).alias("_weight")
         )
         return per_code.join(wanted, codes).groupBy(*answer).agg(
             F.hll_sketch_estimate(F.hll_union_agg("_who")).alias("respondent_count"),
-            usd(F.sum("_weight")).alias("weighted_population"),
+            measure(F.sum("_weight"), 2).alias("weighted_population"),
         )
-    labelled = join_lookup(kept, wanted, codes, "inner", salt_on=["respondent_code"])
+    labelled = kept.join(wanted, codes)
     names = ["survey_year", "country", "category", "metric", "response"]
-    per_answer = labelled.groupBy(*answer, "respondent_code").agg(sum_cents("respondent_weight").alias("_weight"))
+    per_answer = labelled.groupBy(*answer, "respondent_code").agg(F.sum(steps("respondent_weight")).alias("_weight"))
     return per_answer.groupBy(*names).agg(
         F.count("respondent_code").alias("respondent_count"),
-        usd(F.sum("_weight")).alias("weighted_population"),
+        measure(F.sum("_weight"), 2).alias("weighted_population"),
     )
 
 
@@ -164,9 +163,9 @@ def daily_weather(history: DataFrame, since: dt.date | str, country: str = "US")
 def national_daily_signal(weather: DataFrame) -> DataFrame:
     """National mean temperature and summed precipitation and snowfall per day."""
     return weather.groupBy("weather_date").agg(
-        ratio(sum_cents("avg_temp_f"), F.count("avg_temp_f") * 100, 1).alias("national_avg_temp_f"),
-        sum_usd("precipitation_in").alias("national_precipitation_in"),
-        sum_usd("snowfall_in").alias("national_snowfall_in"),
+        avg_measure("avg_temp_f", 1).alias("national_avg_temp_f"),
+        sum_measure("precipitation_in").alias("national_precipitation_in"),
+        sum_measure("snowfall_in").alias("national_snowfall_in"),
     )
 
 
@@ -215,23 +214,24 @@ def customer_enriched(
     enrichment: DataFrame,
     orders: DataFrame,
     as_of: dt.date,
-    profiles: str = "all",
+    profiles: str = "weighted",
 ) -> DataFrame:
     """Customer profile with demographics, order history, tenure, recency and frequency.
 
     ``profiles`` decides what happens when a zip has several household records:
 
-    * ``"all"``: one row per customer and record, as an equi join by zip gives;
-    * ``"weighted"``: one row per customer and distinct profile, with the number
-      of equal records in ``profile_rows`` (for aggregates, see ``clv``);
-    * ``"one"``: exactly one row per customer.
+    * ``"weighted"``: one row per customer and distinct profile, with the number of equal
+      records in ``profile_rows``, by which every aggregate counts;
+    * ``"one"``: exactly one row per customer;
+    * ``"all"``: one row per customer and record, as an equi join by zip gives. The rows grow
+      with the product of a zip's customers and records, so no table or query uses it.
     """
     age_group = F.lit(OTHER_AGES)
     for low, high in reversed(AGE_GROUPS):
         age_group = F.when(F.col("age").between(low, high), f"{low}-{high}").otherwise(age_group)
     known = customers.join(customer_orders(orders), "customer_id", "left")
     side = one_profile_per_zip(enrichment) if profiles == "one" else zip_profiles(enrichment)
-    joined = join_lookup(known, side, ["zip_code"], "left", salt_on=["customer_id"])
+    joined = known.join(side, "zip_code", "left")
     extra: list[Column] = []
     if profiles != "one":
         joined = joined.select(*known.columns, F.inline_outer("_profiles"))
@@ -275,10 +275,16 @@ def segment_drilldown(
         rows = rows.where(F.col("state") == state)
     if outdoor_interest is not None:
         rows = rows.where(F.col("outdoor_interest") == outdoor_interest)
+    n = F.col("profile_rows") if "profile_rows" in rows.columns else F.lit(1).cast("bigint")
+
+    def average(name: str) -> Column:
+        counted = F.sum(F.when(F.col(name).isNotNull(), n))
+        return ratio(F.sum(cents(name) * n), counted * 100, 2)
+
     return rows.groupBy("value_tier", "lifestyle_segment").agg(
-        F.count(F.lit(1)).alias("customers"),
-        F.sum("total_orders").alias("orders"),
-        sum_usd("total_revenue").alias("revenue"),
-        ratio(sum_cents("avg_order_value"), F.count("avg_order_value") * 100, 2).alias("avg_order_value"),
-        ratio(F.sum(cents("orders_per_month")), F.count("orders_per_month") * 100, 2).alias("orders_per_month"),
+        F.sum(n).alias("customers"),
+        F.sum(F.col("total_orders") * n).alias("orders"),
+        usd(F.sum(cents("total_revenue") * n)).alias("revenue"),
+        average("avg_order_value").alias("avg_order_value"),
+        average("orders_per_month").alias("orders_per_month"),
     )

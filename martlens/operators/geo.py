@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlens.functions.calendar import as_date
 from martlens.functions.ladders import first_match
-from martlens.functions.money import cents, ratio, sum_cents, usd
+from martlens.functions.money import MEASURE_STEPS, cents, measure, ratio, steps, sum_cents, usd
 from martlens.operators.enrich import PROFILE, one_profile_per_zip
 
 # Map centre per state code and the default.
@@ -55,6 +55,11 @@ OTHER_CHANNEL = "search"
 MISSING = {"recent_avg_temp": 60.0, "recent_total_snowfall": 0.0, "recent_total_precip": 0.0, "avg_ltv": 0.0}
 
 
+def _wide(whole: Column) -> Column:
+    """A whole number that can be multiplied by row counts without overflow."""
+    return whole.cast("decimal(38,0)")
+
+
 def geo_targeting(
     customers: DataFrame,
     enrichment: DataFrame,
@@ -89,7 +94,7 @@ def geo_targeting(
         .groupBy("state", "zip_code")
         .agg(
             F.countDistinct("customer_id").alias("customer_count"),
-            F.sum(cents("lifetime_value") * order_rows).alias("_ltv"),
+            F.sum(_wide(cents("lifetime_value")) * order_rows).alias("_ltv"),
             F.sum(F.when(F.col("lifetime_value").isNotNull(), order_rows)).alias("_ltv_rows"),
             F.sum(order_rows).alias("_order_rows"),
             F.coalesce(F.sum("_revenue"), F.lit(0).cast("bigint")).alias("_revenue"),
@@ -101,10 +106,10 @@ def geo_targeting(
         .groupBy("zip_code")
         .agg(
             F.count(F.lit(1)).alias("_w"),
-            sum_cents("avg_temp_f").alias("_temp"),
+            F.sum(steps("avg_temp_f")).alias("_temp"),
             F.count("avg_temp_f").alias("_temp_rows"),
-            sum_cents("precipitation_in").alias("_precip"),
-            sum_cents("snowfall_in").alias("_snow"),
+            F.sum(steps("precipitation_in")).alias("_precip"),
+            F.sum(steps("snowfall_in")).alias("_snow"),
         )
     )
     e, w = (F.coalesce("zip_records", one), F.coalesce("_w", one)) if mode == "joined" else (one, one)
@@ -117,11 +122,11 @@ def geo_targeting(
             "zip_code",
             "customer_count",
             ratio("_ltv", F.col("_ltv_rows") * 100, 2).alias("avg_ltv"),
-            usd(F.col("_revenue") * e * w).alias("total_revenue"),
+            usd(_wide(F.col("_revenue")) * e * w).alias("total_revenue"),
             *[F.col(p).alias(f"dominant_{n}") for p, n in zip(PROFILE, ("income_bracket", "lifestyle", "outdoor_interest"))],
-            ratio("_temp", F.col("_temp_rows") * 100, 1).alias("recent_avg_temp"),
-            usd(F.col("_precip") * e * o).alias("recent_total_precip"),
-            usd(F.col("_snow") * e * o).alias("recent_total_snowfall"),
+            ratio("_temp", F.col("_temp_rows") * F.lit(MEASURE_STEPS), 1).alias("recent_avg_temp"),
+            measure(_wide(F.col("_precip")) * e * o, 2).alias("recent_total_precip"),
+            measure(_wide(F.col("_snow")) * e * o, 2).alias("recent_total_snowfall"),
         )
     )
 

@@ -147,17 +147,17 @@ def mmm_insight_text(summary: DataFrame) -> DataFrame:
     The list holds one entry per sub-channel.
     """
     line = F.concat(
-        F.col("sub_channel"), F.lit(": spend=$"), F.col("total_spend").cast("bigint").cast("string"),
-        F.lit(", attributed_rev=$"), F.col("total_attributed").cast("bigint").cast("string"),
-        F.lit(", ROI="), F.coalesce(F.format_string("%.2f", "overall_roi"), F.lit("N/A")),
+        F.col("sub_channel"), F.lit(" turned $"), F.col("total_spend").cast("bigint").cast("string"),
+        F.lit(" into $"), F.col("total_attributed").cast("bigint").cast("string"),
+        F.when(F.col("overall_roi").isNull(), "").otherwise(F.format_string(" (%.2f per dollar)", "overall_roi")),
     )
     ranked = F.sort_array(F.collect_list(F.struct(
         (-F.coalesce("overall_roi", F.lit(-1e300))).alias("k"), F.col("sub_channel").alias("name"), line.alias("line")
     )))
     return summary.agg(ranked.alias("_r")).select(
         F.concat(
-            F.lit("Channel performance: "), F.array_join(F.transform("_r", lambda r: r["line"]), "; "),
-            F.lit(". Best return: "), F.element_at("_r", 1)["name"],
-            F.lit(". Weakest return: "), F.element_at("_r", -1)["name"], F.lit("."),
+            F.array_join(F.transform("_r", lambda r: r["line"]), ", "),
+            F.lit("; ahead is "), F.element_at("_r", 1)["name"],
+            F.lit(", behind is "), F.element_at("_r", -1)["name"],
         ).alias("insight_text")
     )

@@ -203,14 +203,12 @@ def _money(name: str) -> Column:
 def campaign_summary_text(metrics: DataFrame) -> DataFrame:
     """A short account of each campaign built from its indicators."""
     parts = [
-        F.lit("Campaign: "), F.col("campaign_name"),
-        F.lit(". Channel: "), F.col("channel"), F.lit(" ("), F.col("sub_channel"), F.lit(")"),
-        F.lit(". Budget: $"), _money("budget"),
-        F.lit(". Spend: $"), F.coalesce(_money("total_spend"), F.lit("0")),
-        F.lit(". Conversions: "), F.coalesce(F.col("total_conversions").cast("string"), F.lit("0")),
-        F.lit(". Revenue: $"), F.coalesce(_money("campaign_revenue"), F.lit("0")),
-        F.lit(". ROAS: "), F.when(F.col("roas").isNull(), "N/A").otherwise(_money("roas")),
-        F.lit(". CPA: $"), F.when(F.col("cpa").isNull(), "N/A").otherwise(_money("cpa")), F.lit("."),
+        F.col("campaign_name"), F.lit(" ran on "), F.col("channel"), F.lit("/"), F.col("sub_channel"),
+        F.lit(" with $"), _money("budget"), F.lit(" planned and $"), F.coalesce(_money("total_spend"), F.lit("0")), F.lit(" spent; "),
+        F.coalesce(F.col("total_conversions").cast("string"), F.lit("0")), F.lit(" conversions, $"),
+        F.coalesce(_money("campaign_revenue"), F.lit("0")), F.lit(" earned"),
+        F.when(F.col("roas").isNull(), "").otherwise(F.format_string(", %.2f back per dollar", "roas")),
+        F.when(F.col("cpa").isNull(), "").otherwise(F.format_string(", $%.2f per conversion", "cpa")),
     ]
     return metrics.select(
         "campaign_id", "campaign_name", "channel", "sub_channel", F.concat(*parts).alias("executive_summary")
@@ -225,10 +223,9 @@ def geo_state_text(rollup: DataFrame) -> DataFrame:
         .otherwise("Test small regional campaigns first.")
     )
     parts = [
-        F.lit("State: "), F.col("state"),
-        F.lit(". Customers: "), F.col("customer_count").cast("string"),
-        F.lit(". Average LTV: $"), F.coalesce(_money("avg_ltv"), F.lit("0")),
-        F.lit(". Total Revenue: $"), _money("total_revenue"), F.lit(". "), advice,
+        F.col("customer_count").cast("string"), F.lit(" buyers in "), F.col("state"),
+        F.lit(" brought $"), _money("total_revenue"),
+        F.when(F.col("avg_ltv").isNull(), "").otherwise(F.format_string(", each worth $%.2f", "avg_ltv")), F.lit(". "), advice,
     ]
     return rollup.select(
         "state", "customer_count", "avg_ltv", "total_revenue", F.concat(*parts).alias("recommendation")

@@ -69,13 +69,15 @@ def train_holdout_split(daily: DataFrame, cutoff: dt.date | str) -> tuple[DataFr
 def densify(daily: DataFrame) -> DataFrame:
     """Every day between a series' first and last day; missing days become 0.
 
-    Each row is stretched up to the day before the series' next row, so the gaps
-    cost no join, and the one shuffle by series serves the later windows too.
+    Rows of the same series and day are added up. Each row is then stretched up to the day
+    before the series' next row, so the gaps cost no join, and the one shuffle by series
+    serves the later windows too.
     """
+    one = daily.repartition("series").groupBy("series", "ds").agg(F.sum("y").alias("y"))
     following = F.lead("ds").over(Window.partitionBy("series").orderBy("ds"))
     stretch = F.sequence(F.col("ds"), F.coalesce(F.date_sub("_next", 1), F.col("ds")))
     return (
-        daily.select("series", "ds", "y", following.alias("_next"))
+        one.select("series", "ds", "y", following.alias("_next"))
         .select("series", "y", F.col("ds").alias("_ds"), F.explode(stretch).alias("ds"))
         .select("series", "ds", F.when(F.col("ds") == F.col("_ds"), F.coalesce("y", F.lit(0.0))).otherwise(F.lit(0.0)).alias("y"))
     )
@@ -162,10 +164,19 @@ def detect_anomalies(
 ) -> DataFrame:
     """Fit on the days before the cut-off and judge the days from it on.
 
-    Parameters have one row per series, days one row per series and day.
+    With ``fill_gaps`` every fitted series is judged on every day up to the last one of the
+    table, a day without a row counting as 0; otherwise only days with a row are judged. The
+    days are laid out from the parameters, one row per series, and meet the rows by series and day.
     """
     train, later = train_holdout_split(daily, cutoff)
-    scored = _bounded(later.join(fit(train, fill_gaps), "series"), level, digits)
+    observed = later.groupBy("series", "ds").agg(F.sum("y").alias("y"))
+    last = observed.agg(F.max("ds")).scalar()
+    days = fit(train, fill_gaps).withColumn("_last", last).where(F.col("_last").isNotNull()).withColumn(
+        "ds", F.explode(F.sequence(F.lit(as_date(cutoff)), F.col("_last"))))
+    judged = days.join(observed, ["series", "ds"], "left" if fill_gaps else "inner")
+    if fill_gaps:
+        judged = judged.withColumn("y", F.coalesce("y", F.lit(0.0)))
+    scored = _bounded(judged, level, digits)
     z = F.try_divide(F.col("y") - _expected(), F.col("sigma"))
     cdf = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(0.07056) * z * z * z + F.lit(1.5976) * z)))
     y = F.round("y", digits)

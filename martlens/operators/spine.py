@@ -44,37 +44,30 @@ def campaign_days(campaigns: DataFrame) -> DataFrame:
     )
 
 
-def seasonal_factor(day: Column, channel: Column, category: Column) -> Column:
-    """Month-dependent demand factor, first match wins."""
-    month = F.month(day)
-    return (
-        F.when(month.isin(11, 12), F.when(channel == "DTC", F.lit(1.4)).otherwise(F.lit(1.25)))
-        .when(month.isin(3, 4), F.lit(1.2))
-        .when(month.isin(1, 2) & (category == "winter_sports"), F.lit(1.3))
-        .when(month.isin(6, 7, 8), F.lit(0.85))
-        .otherwise(F.lit(1.0))
-    )
-
-
 def revenue_what_if(
     orders: DataFrame,
+    seasons: Mapping[int, float],
     events: Sequence[tuple[str, str, str, float]],
     price_change: Mapping[str, float],
 ) -> DataFrame:
-    """Revenue per category if season, promotions and price changes applied.
+    """Revenue per category and channel if the caller's factors applied.
 
-    ``events`` are ``(channel, first day, last day, factor)``; ``price_change``
-    maps a category to a factor (1 when absent).
+    ``seasons`` maps a month to a factor, ``events`` are ``(channel, first day, last day,
+    factor)`` of which the first match counts, ``price_change`` maps a category to a factor;
+    each is 1 when absent.
     """
     event = F.lit(1.0)
     for channel, first, last, factor in reversed(list(events)):
         hit = (F.col("channel") == channel) & F.col("order_date").between(as_date(first), as_date(last))
         event = F.when(hit, F.lit(factor)).otherwise(event)
-    prices = F.create_map(*[F.lit(x) for pair in price_change.items() for x in pair])
-    price = F.coalesce(F.try_element_at(prices, F.col("product_category")), F.lit(1.0))
-    season = seasonal_factor(F.col("order_date"), F.col("channel"), F.col("product_category"))
+
+    def looked_up(table: Mapping, key: Column) -> Column:
+        pairs = F.create_map(*[F.lit(x) for pair in table.items() for x in pair]) if table else None
+        return F.lit(1.0) if pairs is None else F.coalesce(F.try_element_at(pairs, key), F.lit(1.0))
+
     # factors in ten-thousandths, so that the adjusted cents are exact
-    factor = F.rint(season * event * price * 10000).cast("bigint")
+    product = looked_up(seasons, F.month("order_date")) * event * looked_up(price_change, F.col("product_category"))
+    factor = F.rint(product * 10000).cast("bigint")
     adjusted = F.floor((cents("revenue") * factor + 5000) / F.lit(10000))
     return orders.select("product_category", "channel", "revenue", adjusted.alias("_adj")).groupBy(
         "product_category", "channel"

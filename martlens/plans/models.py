@@ -1,4 +1,7 @@
-"""The four metric models: core marketing, model results, reviews, advanced."""
+"""The four metric models: core marketing, model results, reviews, advanced.
+
+Fixed values throughout: the names of entities, facts, dimensions and metrics.
+"""
 
 from __future__ import annotations
 
@@ -144,6 +147,7 @@ ADVANCED = SemanticView(
         "attribution_summary": ("sub_channel", "model_name"),
         "journey_stats": ("channel_path",),
     },
+    weights={"clv_risk": "profile_rows", "customer_enriched": "profile_rows"},
     metrics={
         "mmm_contributions": {
             "avg_roi": mean("roi", money=True),
@@ -151,8 +155,8 @@ ADVANCED = SemanticView(
         },
         "geo_profiles": {"avg_targeting_score": mean("targeting_score")},
         "clv_risk": {
-            "at_risk_count": count_where("churn_risk_score >= 0.7"),
-            "avg_churn_risk": mean("churn_risk_score"),
+            "at_risk_count": count_where("churn_risk_score >= 0.7", weight="profile_rows"),
+            "avg_churn_risk": mean("churn_risk_score", weight="profile_rows"),
         },
         "weather_revenue": {"avg_daily_revenue": mean("total_revenue", money=True)},
         "journey_stats": {

@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlens.functions.money import div0, ratio, sum_cents, usd
+from martlens.functions.money import MEASURE_STEPS, cents, div0, ratio, steps, sum_cents, usd
 
 
 @dataclass(frozen=True)
@@ -39,16 +39,26 @@ def row_count(column: str) -> Metric:
     return Metric({"n": lambda: F.count(column)}, lambda p: p("n"))
 
 
-def count_where(condition: str) -> Metric:
-    return Metric({"n": lambda: F.count_if(F.expr(condition))}, lambda p: p("n"))
+def count_where(condition: str, weight: str | None = None) -> Metric:
+    """Rows that meet a condition; with ``weight``, a row counts as often as that column says."""
+    if weight is None:
+        return Metric({"n": lambda: F.count_if(F.expr(condition))}, lambda p: p("n"))
+    return Metric({"n": lambda: F.sum(F.when(F.expr(condition), F.col(weight)).otherwise(0))}, lambda p: p("n"))
 
 
-def mean(column: str, money: bool = False) -> Metric:
-    if money:
-        return Metric(
-            {"sum": lambda: sum_cents(column), "n": lambda: F.count(column)}, lambda p: ratio(p("sum"), p("n") * 100)
-        )
-    return Metric({"sum": lambda: F.sum(column), "n": lambda: F.count(column)}, lambda p: ratio(p("sum"), p("n")))
+def mean(column: str, money: bool = False, weight: str | None = None) -> Metric:
+    """Mean from an exact sum of cents or of billionths, so that it does not depend on the order of rows."""
+    def one() -> Column:
+        return F.lit(1).cast("bigint") if weight is None else F.col(weight)
+
+    scale = 100 if money else MEASURE_STEPS
+    return Metric(
+        {
+            "sum": lambda: F.sum((cents(column) if money else steps(column)) * one()),
+            "n": lambda: F.sum(F.when(F.col(column).isNotNull(), one()).otherwise(0)),
+        },
+        lambda p: ratio(p("sum"), p("n") * F.lit(scale)),
+    )
 
 
 def share(numerator: str, denominator: str, scale: int = 100) -> Metric:
@@ -59,6 +69,12 @@ def share(numerator: str, denominator: str, scale: int = 100) -> Metric:
     )
 
 
+#: Words of a condition that are not fields.
+CONDITION_WORDS = frozenset(
+    "AND OR NOT IN IS NULL LIKE RLIKE BETWEEN TRUE FALSE CASE WHEN THEN ELSE END DATE TIMESTAMP INTERVAL CAST AS "
+    "INT BIGINT DOUBLE STRING DAY MONTH YEAR ESCAPE".split())
+
+
 @dataclass(frozen=True)
 class Relationship:
     """``child.column`` refers to ``parent.key``."""
@@ -77,6 +93,7 @@ class SemanticView:
     facts: Mapping[str, Sequence[str]] = field(default_factory=dict)
     dimensions: Mapping[str, Sequence[str]] = field(default_factory=dict)
     metrics: Mapping[str, Mapping[str, Metric]] = field(default_factory=dict)
+    weights: Mapping[str, str] = field(default_factory=dict)  # entity -> column saying for how many rows a row stands
 
     def _split(self, qualified: str, kind: Mapping[str, object], label: str) -> tuple[str, str]:
         entity, _, name = qualified.partition(".")
@@ -85,11 +102,17 @@ class SemanticView:
         return entity, name
 
     def _fields_in(self, condition: str) -> list[tuple[str, str]]:
-        """Declared dimensions and facts named in a condition."""
+        """Dimensions and facts named in a condition; any other name than ``entity.field`` is refused."""
+        bare = re.sub(r"'(?:[^']|'')*'", "''", condition)
         found = []
-        for kind in (self.dimensions, self.facts):
-            for entity, names in kind.items():
-                found += [(entity, n) for n in names if re.search(rf"\b{entity}\.{n}\b", condition)]
+        for m in re.finditer(r"[A-Za-z_]\w*(?:\s*\.\s*[A-Za-z_]\w*)*", bare):
+            name = re.sub(r"\s", "", m.group())
+            if name.upper() in CONDITION_WORDS or bare[m.end():].lstrip().startswith("("):
+                continue
+            entity, _, column = name.partition(".")
+            if column not in (*self.dimensions.get(entity, ()), *self.facts.get(entity, ())):
+                raise ValueError(f"{self.name} has no field {name}; conditions name declared entity.field")
+            found.append((entity, column))
         return list(dict.fromkeys(found))
 
     def path(self, start: str, goal: str) -> list[tuple[str, str, str, str]]:
@@ -251,6 +274,9 @@ class SemanticView:
             *[F.col(f"{e}.{c}").alias(n) for (e, c), n in zip(dims, names)], *[F.col(f"{entity}.{p}") for p in part_names]
         )
 
+    def _rows_of(self, entity: str) -> Column:
+        return F.sum(self.weights[entity]) if entity in self.weights else F.count(F.lit(1))
+
     def key_check(self, tables: Mapping[str, DataFrame], entities: Sequence[str] | None = None) -> DataFrame:
         """Duplicate primary keys and orphaned references of the declared model.
 
@@ -261,7 +287,7 @@ class SemanticView:
         for entity in chosen:
             key = self.entities[entity]
             if key:
-                groups = tables[entity].groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+                groups = tables[entity].groupBy(*key).agg(self._rows_of(entity).alias("n"))
                 checks.append(groups.agg(
                     F.lit("duplicate_key").alias("check"), F.lit(entity).alias("entity"),
                     F.lit(", ".join(key)).alias("columns"), F.count_if(F.col("n") > 1).alias("violations"),
@@ -270,7 +296,7 @@ class SemanticView:
             if r.child in chosen and r.parent in chosen:
                 refs = (
                     tables[r.child].where(F.col(r.column).isNotNull())
-                    .groupBy(F.col(r.column).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+                    .groupBy(F.col(r.column).alias("k")).agg(self._rows_of(r.child).alias("n"))
                 )
                 known = tables[r.parent].select(F.col(r.key).alias("k")).distinct()
                 checks.append(refs.join(known, "k", "left_anti").agg(

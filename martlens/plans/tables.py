@@ -52,10 +52,7 @@ def market_tables(
             t["spend_daily"], t["daily_revenue"], indicators(t["economic_series"]), t["national_weather"]),
         # customers and places
         "customer_enriched": lambda: enrich.customer_enriched(t["customers"], t["enrichment"], t["orders"], as_of),
-        "customer_weighted": lambda: enrich.customer_enriched(
-            t["customers"], t["enrichment"], t["orders"], as_of, "weighted"),
         "clv_risk": lambda: clv.clv_tiers(t["customer_enriched"]),
-        "clv_weighted": lambda: clv.clv_tiers(t["customer_weighted"]),
         "geo_targeting": lambda: geo.geo_targeting(
             t["customers"], t["enrichment"], t["orders"], t["weather"], as_of),
         "geo_profiles": lambda: geo.geo_profiles(t["geo_targeting"]),

@@ -2,30 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder for checkpoints and intermediate tables.
-
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session
-    without that setting gets a temporary folder of its own.
-    """
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(named)
-        return named
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    if not spark.sparkContext.master.startswith("local"):
+    """Folder for checkpoints and intermediate tables, named in ``spark.checkpoint.dir`` or set on the context."""
+    context = spark.sparkContext
+    named = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if named and context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
+    named = named or context.getCheckpointDir()
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="martlens-"))
-    return spark.sparkContext.getCheckpointDir()
+    return named
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:
@@ -44,15 +36,6 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def at_least_parallel(df: DataFrame) -> DataFrame:
-    """Split an input that has fewer partitions than cores, for work that is heavy per row.
-
-    Input with enough file splits, as any large table has, is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def write_snapshot(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     """Replace a table with the rows of ``df``."""
     writer = df.write.mode("overwrite")
@@ -67,3 +50,14 @@ def append_rows(df: DataFrame, path: str) -> None:
 def overwrite_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> None:
     """Replace only the partitions that occur in ``df``."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through the file system that holds it, for results that are no longer read."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def remove_partition(spark: SparkSession, path: str, values: Mapping[str, object]) -> None:
+    """Delete one partition of a table written with ``partitionBy``."""
+    remove_path(spark, "/".join([path.rstrip("/"), *(f"{k}={v}" for k, v in values.items())]))

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlens.functions.money import cents, usd
-from martlens.sources.store import at_least_parallel
 
 # Product categories and marketing sub-channels.
 CATEGORIES = ("outerwear", "footwear", "camping", "climbing", "winter_sports", "accessories")
@@ -81,6 +80,11 @@ def orders_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The date of each order, without its lines."""
+    return table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("order_date"))
+
+
 def orders_star(spark: SparkSession, sf_dir: str, with_product: bool = False) -> DataFrame:
     """Order lines 1995-2001; the part join is made only when products are asked for.
 
@@ -278,7 +282,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     source_no = F.regexp_extract("source", "[0-9]+", 0).cast("int")
     return (
-        at_least_parallel(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
+        table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
         .join(marks, "doc_id", "left")
         .select(
             F.col("doc_id").alias("review_id"),

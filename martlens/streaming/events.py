@@ -1,9 +1,9 @@
 """Continuous daily revenue and weekly spend from an event feed.
 
-The feed is read as a file stream, aggregated in event-time windows behind a
-watermark and appended to a Parquet table window by window as they close. State
-is one row per open window and group. ``whole_*`` adds the still open windows
-from a batch over the recent rows, so a reader always sees every event once.
+The feed is read as a file stream. ``accumulate`` reduces each micro-batch to partial sums per
+event-time window, and ``merged`` adds the parts up, so a reader sees every event once, late or
+not. ``run_to_table`` is the variant for consumers of final windows: it appends a window when the
+watermark has closed it, holds one row of state per open window and group, and drops later events.
 """
 
 from __future__ import annotations
@@ -39,14 +39,9 @@ def _utc_date(instant: Column) -> Column:
     return F.date_from_unix_date(F.floor(F.unix_seconds(instant) / 86400).cast("int"))
 
 
-def read_stream(spark: SparkSession, folder: str, pattern: str = "events.parquet", files_per_batch: int = 100) -> DataFrame:
-    """New files of a folder as a stream of events."""
-    return (
-        spark.readStream.schema(EVENTS)
-        .option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(folder)
-    )
+def read_stream(spark: SparkSession, feed: str, files_per_batch: int = 100) -> DataFrame:
+    """New files of a feed as a stream of events: every file below ``feed``, which may be a folder or a name pattern."""
+    return spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", files_per_batch).parquet(feed)
 
 
 def daily_revenue_windows(events: DataFrame) -> DataFrame:
@@ -75,46 +70,58 @@ def weekly_spend_windows(events: DataFrame) -> DataFrame:
     ).select(_utc_date(F.col("w.start")).alias("window_start"), "source", "n", "total_spend")
 
 
-def run_to_table(windows: DataFrame, name: str) -> str:
-    """Process everything available and append closed windows to a new Parquet table."""
-    spark = windows.sparkSession
-    path = new_table_path(spark, name)
+def run_to_table(windows: DataFrame, path: str, state: str) -> None:
+    """Process what has arrived and append closed windows to the Parquet table at ``path``.
+
+    ``state`` is the query's checkpoint: a later run with the same paths reads new files only.
+    Events behind the watermark are dropped here; ``accumulate`` keeps them.
+    """
     query = (
         windows.writeStream.format("parquet")
         .outputMode("append")
-        .option("checkpointLocation", new_table_path(spark, f"{name}-state"))
+        .option("checkpointLocation", state)
         .trigger(availableNow=True)
         .start(path)
     )
     query.awaitTermination()
-    return path
 
 
-def whole(
-    spark: SparkSession,
-    folder: str,
-    windows: Callable[[DataFrame], DataFrame],
-    name: str,
-    start: str,
-) -> DataFrame:
-    """Closed windows from the stream table plus open ones from the recent rows.
+def accumulate(events: DataFrame, windows: Callable[[DataFrame], DataFrame], path: str, state: str) -> None:
+    """Add the windows' partial sums of newly arrived files to the table at ``path``.
 
-    Windows close in the order of their start, so an open window starts after
-    the last closed one and all its rows are later than that day.
+    Each micro-batch writes one folder named after its number, so a repeated batch replaces
+    itself. An event counts however late it is: its batch holds a further part of its window.
     """
-    streamed = windows(read_stream(spark, folder))
-    closed = spark.read.schema(streamed.schema).parquet(run_to_table(streamed, name))
-    last = closed.agg(F.max(start))
-    batch = spark.read.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(folder)
-    recent = batch.where(last.scalar().isNull() | (F.to_date("ts") > last.scalar()))
-    opened = windows(recent)
-    open_windows = opened.where(last.scalar().isNull() | (F.col(start) > last.scalar()))
-    return closed.unionByName(open_windows)
+    def add(batch: DataFrame, number: int) -> None:
+        windows(batch).write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={number}")
+
+    query = (
+        events.writeStream.foreachBatch(add).option("checkpointLocation", state).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+
+
+def merged(spark: SparkSession, path: str, windows: Callable[[DataFrame], DataFrame], sums: dict[str, Column]) -> DataFrame:
+    """The whole table: parts of a window added up over all batches. ``sums`` gives the added columns."""
+    shape = windows(spark.createDataFrame([], EVENTS)).schema
+    parts = spark.read.schema(shape).option("basePath", path).parquet(path)
+    keys = [c for c in shape.names if c not in sums]
+    return parts.groupBy(*keys).agg(*[total.alias(name) for name, total in sums.items()]).select(*shape.names)
+
+
+def _whole(spark: SparkSession, feed: str, windows, name: str, sums: dict[str, Column], path: str | None, state: str | None) -> DataFrame:
+    path = path or new_table_path(spark, name)
+    accumulate(read_stream(spark, feed), windows, path, state or f"{path}-state")
+    return merged(spark, path, windows, sums)
 
 
-def whole_daily_revenue(spark: SparkSession, folder: str) -> DataFrame:
-    return whole(spark, folder, daily_revenue_windows, "daily-revenue", "order_date")
+def whole_daily_revenue(spark: SparkSession, feed: str, path: str | None = None, state: str | None = None) -> DataFrame:
+    """Daily revenue of everything that has arrived; give ``path`` and ``state`` to go on from an earlier run."""
+    sums = {"order_count": F.sum("order_count"), "total_revenue": sum_usd("total_revenue")}
+    return _whole(spark, feed, daily_revenue_windows, "daily-revenue", sums, path, state)
 
 
-def whole_weekly_spend(spark: SparkSession, folder: str) -> DataFrame:
-    return whole(spark, folder, weekly_spend_windows, "weekly-spend", "window_start")
+def whole_weekly_spend(spark: SparkSession, feed: str, path: str | None = None, state: str | None = None) -> DataFrame:
+    """Spend per seven-day window of everything that has arrived; see ``whole_daily_revenue``."""
+    sums = {"n": F.sum("n"), "total_spend": sum_usd("total_spend")}
+    return _whole(spark, feed, weekly_spend_windows, "weekly-spend", sums, path, state)

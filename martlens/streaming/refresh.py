@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlens.functions.joins import join_lookup
 from martlens.functions.money import ratio, sum_usd
 from martlens.operators.kpi import daily_revenue
-from martlens.sources.store import overwrite_partitions, write_snapshot
+from martlens.sources.store import overwrite_partitions, remove_partition, write_snapshot
 
 DAY = ("order_date",)
 
@@ -21,13 +20,16 @@ def initial_load(orders: DataFrame, path: str) -> None:
 def refresh_days(orders: DataFrame, arrived: DataFrame, path: str) -> None:
     """Recompute and replace only the days that ``arrived`` rows belong to.
 
-    ``orders`` is the full table including the new rows. The touched days are a
-    small stored list, so the scan of an orders table partitioned by day is
-    pruned to them.
+    ``orders`` is the full table including the new rows; stored by day, its scan is pruned
+    to the touched days at run time. ``arrived`` holds every row that came, left or changed,
+    with its old and its new date. A touched day without orders loses its partition.
     """
     touched = arrived.select(*DAY).distinct()
-    affected = join_lookup(orders, touched, DAY, "inner", salt_on=["order_id"])
-    overwrite_partitions(daily_revenue(affected).repartition(*DAY), path, DAY)
+    fresh = daily_revenue(orders.join(touched, list(DAY), "left_semi"))
+    overwrite_partitions(fresh.repartition(*DAY), path, DAY)
+    emptied = touched.join(orders.select(*DAY).join(touched, list(DAY), "left_semi").distinct(), list(DAY), "left_anti")
+    for row in emptied.collect():  # days, each a partition folder
+        remove_partition(orders.sparkSession, path, {"order_date": row.order_date})
 
 
 def read_daily(spark, path: str) -> DataFrame:

@@ -76,22 +76,46 @@ def test_late_event_is_dropped_by_the_stream(spark, tmp_path):
     for n, part in enumerate("abc"):  # files are read in the order of their time stamps
         for f in (tmp_path / "feed" / part).glob("*.parquet"):
             os.utime(f, (1_700_000_000 + n * 1000,) * 2)
-    stream = events.read_stream(spark, f"{feed}/*", "*.parquet", files_per_batch=1)
-    out = spark.read.parquet(events.run_to_table(events.daily_revenue_windows(stream), "late"))
+    stream = events.read_stream(spark, f"{feed}/*", files_per_batch=1)
+    events.run_to_table(events.daily_revenue_windows(stream), str(tmp_path / "out"), str(tmp_path / "state"))
+    out = spark.read.parquet(str(tmp_path / "out"))
     days = {r.order_date: r.order_count for r in out.collect()}
     assert days[dt.date(2026, 1, 1)] == 1  # the late second event of that day is gone
     assert dt.date(2026, 1, 21) not in days  # its window is still open
 
 
-def test_closed_and_open_windows_are_whole(spark, sf_dir):
-    whole = events.whole_daily_revenue(spark, sf_dir)
+def test_accumulated_windows_are_whole(spark, sf_dir):
+    whole = events.whole_daily_revenue(spark, f"{sf_dir}/events.parquet*")
     batch = events.daily_revenue_windows(spark.read.schema(events.EVENTS).parquet(f"{sf_dir}/events.parquet"))
     assert _same(whole, batch)
 
 
+def test_every_file_of_a_feed_counts_and_a_second_run_goes_on(spark, tmp_path):
+    first = dt.datetime(2026, 1, 1, 12)
+    feed, path, state = (str(tmp_path / n) for n in ("feed", "table", "state"))
+    _write_events(spark, feed, [(i, first + dt.timedelta(days=i)) for i in range(10)], "a")
+    _write_events(spark, feed, [(i, first + dt.timedelta(days=i)) for i in range(10)], "b")
+    assert events.whole_daily_revenue(spark, f"{feed}/*", path, state).agg(F.sum("order_count")).first()[0] == 20
+    _write_events(spark, feed, [(99, first)], "c")  # later than any watermark would allow
+    whole = events.whole_daily_revenue(spark, f"{feed}/*", path, state)
+    days = {r.order_date: (r.order_count, r.total_revenue) for r in whole.collect()}
+    assert days[dt.date(2026, 1, 1)] == (3, 30.0)
+    newest = max(tmp_path.joinpath("table").iterdir(), key=lambda p: int(p.name.removeprefix("batch=")))
+    assert spark.read.parquet(str(newest)).agg(F.sum("order_count")).first()[0] == 1  # only the new file was read
+
+
+def test_emptied_day_loses_its_partition(spark, tmp_path):
+    path = str(tmp_path / "daily")
+    old = frame(spark, "orders", [order(1, "2026-01-01"), order(2, "2026-01-02")])
+    initial_load(old, path)
+    moved = frame(spark, "orders", [order(1, "2026-01-01"), order(2, "2026-01-03")])
+    refresh_days(moved, old.where("order_id = 2").unionByName(moved.where("order_id = 2")), path)
+    assert _same(read_daily(spark, path), daily_revenue(moved))
+
+
 @pytest.mark.parametrize("days", [1, 7])
 def test_window_functions_work_on_a_batch(spark, sf_dir, days):
-    batch = spark.read.schema(events.EVENTS).parquet(f"{sf_dir}/events.parquet")
+    batch = spark.read.schema(events.EVENTS).parquet(f"{sf_dir}/events.parquet*")
     rows = events.weekly_spend_windows(batch) if days == 7 else events.daily_revenue_windows(batch)
     n = rows.agg(F.sum("n" if days == 7 else "order_count")).first()[0]
     kinds = ["view", "click", "signup"] if days == 7 else ["purchase"]
