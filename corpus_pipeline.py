@@ -23,6 +23,7 @@ VOCABULARY = "word_bpe_49k.json"
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.5; null and empty texts score low and stay."""
+    common.attach(spark)
     labels = common.table(spark, sf_dir, "labels")
     model = toxicity.train(docs, labels, common.id_remainder(F.col("doc_id"), FOLDS) != HELD)
     return toxicity.keep_clean(docs, model)
@@ -30,6 +31,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest id of each group of near-duplicates; documents without words are all kept."""
+    common.attach(spark)
     return minhash.keep_first(docs, NEAR_PERCENT)
 
 
@@ -45,6 +47,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files in the order of the mix; doc_id, start, n_tokens and ids_crc32 as read back from them."""
+    common.attach(spark)
     import public_tokenizers
 
     order = "file_place"

@@ -6,16 +6,21 @@ is cut into pieces of about ``PIECE`` bytes at white space, which bounds the tem
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
 import zlib
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from martlens.llm import files
+
 #: Bytes worked on at once.
 PIECE = 1 << 18
 
@@ -37,6 +42,23 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def attach(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per Spark context, where it is not installed on them."""
+    package = Path(__file__).resolve().parents[1]
+    context = spark.sparkContext
+    if getattr(context, "_martlens_attached", False):
+        return
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    folder = run_folder(spark, "package")
+    files.make_folder(folder)
+    files.write_file(f"{folder}/martlens-package.zip", [packed.getvalue()])
+    context.addPyFile(f"{folder}/martlens-package.zip")
+    context._martlens_attached = True
+
+
 def stored(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` as Parquet and read it back: cuts the lineage, survives lost executors."""
     df.write.mode("overwrite").parquet(path)
@@ -59,6 +81,42 @@ def text_key(text: Column) -> Column:
     return F.struct(F.xxhash64(whole).alias("a"), F.xxhash64(F.lit(1), whole).alias("b"))
 
 
+# -- a filter of fixed size ------------------------------------------------------------------------------------------------
+#: Bits of an id filter; 1 MB whatever the number of ids. More ids than about a million let more strangers pass.
+FILTER_BITS = 1 << 23
+
+
+def _filter_places(ids: np.ndarray) -> np.ndarray:
+    """Three bit places for each id."""
+    x = ids.astype(np.int64).view(np.uint64)
+    return np.stack([mix(x + np.uint64(k << 40)) % np.uint64(FILTER_BITS) for k in (1, 2, 3)])
+
+
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """Bits that hold every id of a one-column table; ``may_hold`` says no to most others. Used to leave rows out of a shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = np.zeros(FILTER_BITS // 64, np.uint64)
+        for batch in batches:
+            place = _filter_places(batch.column(0).drop_null().to_numpy()).ravel()
+            np.bitwise_or.at(words, (place >> np.uint64(6)).astype(np.int64), np.uint64(1) << (place & np.uint64(63)))
+        at = np.flatnonzero(words)
+        yield pa.record_batch([pa.array(at), pa.array(words[at].view(np.int64))], names=["at", "word"])
+
+    parts = ids.mapInArrow(run, "at long, word long").groupBy("at").agg(F.expr("bit_or(word)").alias("word"))
+    words = np.zeros(FILTER_BITS // 64, np.int64)
+    for at, word in parts.collect():  # 131,072 rows at most
+        words[at] = word
+    return words.view(np.uint64)
+
+
+def may_hold(words: np.ndarray, ids: pa.Array) -> np.ndarray:
+    """True for every id of the filter, and for few others; null is never held."""
+    place = _filter_places(ids.fill_null(0).to_numpy(zero_copy_only=False))
+    bits = words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)
+    return bits.all(axis=0) & ~ids.is_null().to_numpy(zero_copy_only=False)
+
+
 # -- bytes of a batch --------------------------------------------------------------------------------------------------
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and its n + 1 offsets; null texts have no bytes."""
@@ -180,6 +238,43 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             at = to
 
 
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each run of equal integer ``keys``, from input that is sorted by them; one run is held at a time."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        change = np.zeros(batch.num_rows, bool)
+        for c in columns:
+            change[1:] |= c[1:] != c[:-1]
+        edges = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            key = tuple(c[a] for c in columns)
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def block_pairs(rows: DataFrame, group: str, order: list[str], size: int) -> DataFrame:
+    """``rows`` once for each pair (i, j) of blocks it takes part in, with its own ``block``, sorted by (group, i, j).
+
+    A group is cut into blocks of ``size`` rows by ``order``. Rows of one (group, i, j), at most twice ``size``, come
+    one after the other, so a task compares them without ever holding a whole group.
+    """
+    place = F.row_number().over(Window.partitionBy(group).orderBy(*order)) - 1
+    cut = rows.withColumn("block", F.floor(place / size))
+    counted = cut.withColumn("last", F.max("block").over(Window.partitionBy(group)))
+    paired = counted.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), "last")))
+    return paired.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other", "last").repartition(
+        group, "i", "j").sortWithinPartitions(group, "i", "j", *order)
+
+
 def grouped(lists: np.ndarray, index: np.ndarray) -> pa.ListArray:
     """List column from flat values and n + 1 offsets."""
     return pa.ListArray.from_arrays(pa.array(index, pa.int32()), pa.array(lists))

@@ -32,5 +32,6 @@ def components(links: DataFrame, folder: str) -> DataFrame:
         edges = common.stored(small, f"{folder}/cc-{step}")
         mark = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(mark) == before:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+            leaves = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
+            return leaves.union(edges.select("b", "b").distinct())
         before = tuple(mark)

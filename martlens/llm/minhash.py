@@ -6,11 +6,11 @@
    corrected for fields that agree by chance: ``(equal - 2^-b) / (1 - 2^-b)``. Pairs clearly below the limit go.
 3. Remaining pairs are confirmed exactly on the full shingle sets.
 
-Only connections matter for the groups, so pairs are tested in rounds. The first compares each member of a bucket
-with its smallest member. Later rounds look at buckets whose members are not yet in one component, and at pairs across
-components only: members are sorted by component into blocks, and pairs of blocks are compared in bulk, so neither a
-bucket nor its pairs are ever gathered. Rounds go on until no untested pair across components is left, so no
-connection among candidates is lost, without a limit on bucket sizes.
+Only connections matter for the groups. First each text is compared with the smallest member of all its buckets. In
+buckets whose members are then not in one component, likely pairs across components connect their texts to clusters,
+and within a cluster all likely pairs across components are confirmed. Both steps compare pairs of blocks in bulk and give
+only edges that connect something, so neither a bucket nor its pairs are ever gathered or emitted, and no connection
+among candidates is lost, whatever the size of a bucket.
 
 With a limit of 0.8 a pair at the limit misses all 32 bands of 4 rows with probability 5e-8.
 """
@@ -33,9 +33,12 @@ SHINGLE, BANDS, ROWS, BITS = 5, 32, 4, 4
 N_HASH = BANDS * ROWS
 FIELDS = 64 // BITS  # signature fields in a long
 
-#: Members of a block in the bulk comparison of large buckets.
+#: Members of a block in the bulk comparison of buckets by signature.
 BLOCK = 1024
 
+#: The same where full shingle sets are compared.
+SET_BLOCK = 128
+
 _U32, _U64 = np.uint32, np.uint64
 _ADD = mix(np.arange(1, N_HASH + 1, dtype=_U64)).astype(_U32)
 _MUL = (mix(np.arange(1, N_HASH + 1, dtype=_U64) + _U64(1 << 32)) >> _U64(31)).astype(_U32) | _U32(1)
@@ -154,86 +157,112 @@ def likely(pairs: DataFrame, limit: float) -> DataFrame:
     return sized.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) with ``100 * intersection >= percent * union`` of the full sets; ``texts`` has (doc_id, text)."""
+def shingle_sets(nodes: DataFrame, texts: DataFrame, folder: str) -> DataFrame:
+    """(id, set) of the texts whose id is in ``nodes``; a filter of fixed size keeps most others out of the shuffle."""
+    held = texts.sparkSession.sparkContext.broadcast(common.id_filter(nodes))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(iter([whole.filter(pa.array(common.may_hold(held.value, whole.column("doc_id").cast(pa.int64()))))])):
+                found = [s for _, s in text_shingles(batch.column("text"))]
+                yield pa.record_batch([batch.column("doc_id").cast(pa.int64()),
+                                       pa.array([s.tobytes() for s in found], pa.binary())], names=["id", "set"])
+
+    return common.stored(texts.mapInArrow(run, "id long, set binary").join(nodes, "id", "left_semi").dropDuplicates(["id"]), folder)
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            found = [s for _, s in text_shingles(batch.column("text"))]
-            yield pa.record_batch([batch.column("doc_id").cast(pa.int64()),
-                                   pa.array([s.tobytes() for s in found], pa.binary())], names=["id", "set"])
+
+def reaches(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have ``100 * intersection >= percent * union``."""
+    both = len(np.intersect1d(p, q, assume_unique=True))
+    return 100 * both >= percent * (len(p) + len(q) - both)
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that reach the limit on their full sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
-                p, q = np.frombuffer(x.as_buffer(), _U64), np.frombuffer(y.as_buffer(), _U64)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                good.append(100 * both >= percent * (len(p) + len(q) - both))
+            good = [reaches(np.frombuffer(x.as_buffer(), _U64), np.frombuffer(y.as_buffer(), _U64), percent)
+                    for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    full = texts.join(nodes, "doc_id").dropDuplicates(["doc_id"]).mapInArrow(sets, "id long, set binary")
-    with_a = pairs.join(full.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
-    return with_a.join(full.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b").select(
+    with_a = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("set_a")), "a")
+    return with_a.join(sets.select(F.col("id").alias("b"), F.col("set").alias("set_b")), "b").select(
         "a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
 def star_pairs(members: DataFrame) -> DataFrame:
-    """Each bucket's members (bucket, id) with its smallest member, as distinct (a, b)."""
-    lowest = members.groupBy("bucket").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1")
-    return members.join(lowest, "bucket").where("id <> a").select("a", F.col("id").alias("b")).distinct()
+    """Each member of a bucket (bucket, id) with the smallest member of all its buckets: one pair (a, b) for each b."""
+    lowest = members.groupBy("bucket").agg(F.min("id").alias("low"))
+    return members.join(lowest, "bucket").groupBy(F.col("id").alias("b")).agg(F.min("low").alias("a")).where("a < b").select("a", "b")
 
 
-def block_pairs(members: DataFrame, limit: float) -> DataFrame:
-    """Likely pairs (a, b) across components within buckets; ``members`` is (bucket, id, n, signature, component).
+class _Rows:
+    """The members of a pair of blocks, and which of them are to be compared."""
 
-    For each pair of blocks and each member, the likeliest partner in every other component is given, so a round
-    never emits all pairs; the caller asks again while untested pairs remain.
-    """
-    from pyspark.sql import Window
+    def __init__(self, table: pa.Table):
+        self.id, self.n, self.component, self.block = (table[c].to_numpy() for c in ("id", "n", "component", "block"))
+        self.signature = _signatures(table["signature"].combine_chunks())
+        i, j = table["i"][0].as_py(), table["j"][0].as_py()
+        self.left = np.arange(len(self.id)) if i == j else np.flatnonzero(self.block == i)
+        self.right = self.left if i == j else np.flatnonzero(self.block == j)
 
+    def partners(self, x: int, group: np.ndarray, limit: float, least: float) -> np.ndarray:
+        """Rows on the right that ``x`` may be linked with and that are in another ``group``."""
+        y = self.right
+        y = y[(group[y] != group[x]) & (np.minimum(self.n[y], self.n[x]) >= limit * np.maximum(self.n[y], self.n[x]) - 1e-6)]
+        return y[estimate(self.signature[y], self.signature[x]) >= least] if len(y) else y
+
+
+def likely_edges(members: DataFrame, limit: float) -> DataFrame:
+    """Edges (a, b) that connect all members of a bucket that are likely linked across components.
+
+    ``members`` is (bucket, id, n, signature, component). Only edges that join what is still apart are given, fewer
+    than rows for each pair of blocks.
+    """
     least = lowest_estimate(limit)
-    place = F.row_number().over(Window.partitionBy("bucket").orderBy("component", "id")) - 1
-    blocks = members.withColumn("block", F.floor(place / BLOCK)).groupBy("bucket", "block").agg(
-        F.collect_list(F.struct("id", "n", "component", "signature")).alias("m"),
-        F.min("component").alias("low"), F.max("component").alias("high"))
-    left = blocks.select("bucket", F.col("block").alias("i"), F.col("m").alias("x"), F.col("low").alias("low_x"), F.col("high").alias("high_x"))
-    right = blocks.select("bucket", F.col("block").alias("j"), F.col("m").alias("y"), F.col("low").alias("low_y"), F.col("high").alias("high_y"))
-    both = left.join(right, "bucket").where("i <= j and not (low_x = high_x and low_y = high_y and low_x = low_y)")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
-                a, b = _best_partners(_block(x.values), _block(y.values), least, limit)
-                if len(a):
-                    yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-
-    return both.select("x", "y").mapInArrow(run, "a long, b long").distinct()
-
-
-def _block(values: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    return (values.field("id").to_numpy(), values.field("n").to_numpy(), values.field("component").to_numpy(),
-            _signatures(values.field("signature")))
-
-
-def _best_partners(x: tuple, y: tuple, least: float, limit: float) -> tuple[np.ndarray, np.ndarray]:
-    out_a, out_b = [], []
-    for k in range(len(x[0])):
-        good = np.flatnonzero((y[2] != x[2][k]) & (np.minimum(y[1], x[1][k]) >= limit * np.maximum(y[1], x[1][k]) - 1e-6))
-        if not len(good):
-            continue
-        like = estimate(y[3][good], x[3][k])
-        good, like = good[like >= least], like[like >= least]
-        if len(good):
-            order = np.lexsort((-like, y[2][good]))
-            good = good[order]
-            first = np.unique(y[2][good], return_index=True)[1]
-            out_a.append(np.full(len(first), x[0][k]))
-            out_b.append(y[0][good[first]])
-    if not out_a:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(out_a), np.concatenate(out_b)
+        for table in common.runs(batches, ["bucket", "i", "j"]):
+            rows = _Rows(table)
+            root = np.arange(len(rows.id))
+            a, b = [], []
+            for x in rows.left:
+                y = rows.partners(x, rows.component, limit, least)
+                apart, first = np.unique(root[y], return_index=True)
+                new = apart != root[x]
+                if new.any():
+                    a += [rows.id[x]] * int(new.sum())
+                    b += rows.id[y[first[new]]].tolist()
+                    root[np.isin(root, apart)] = root[x]
+            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return common.block_pairs(members, "bucket", ["component", "id"], BLOCK).mapInArrow(run, "a long, b long").distinct()
+
+
+def cluster_links(members: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links (a, b) between the components of each cluster, fewer than rows for each pair of blocks.
+
+    ``members`` is (cluster, id, n, signature, component, set). Every likely pair across components is compared on its
+    full sets in the task that holds its two blocks, unless links found before already connect it.
+    """
+    limit, least = percent / 100, lowest_estimate(percent / 100)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in common.runs(batches, ["cluster", "i", "j"]):
+            rows = _Rows(table)
+            sets = [np.frombuffer(s.as_buffer(), _U64) for s in table["set"]]
+            group = rows.component.copy()
+            a, b = [], []
+            for x in rows.left:
+                for y in rows.partners(x, group, limit, least):
+                    if group[y] != group[x] and reaches(sets[x], sets[y], percent):
+                        a.append(rows.id[x])
+                        b.append(rows.id[y])
+                        group[group == group[y]] = group[x]
+            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return common.block_pairs(members, "cluster", ["component", "id"], SET_BLOCK).mapInArrow(run, "a long, b long")
 
 
 def near_groups(docs: DataFrame, percent: int = 80, folder: str | None = None) -> DataFrame:
@@ -265,21 +294,19 @@ def near_groups(docs: DataFrame, percent: int = 80, folder: str | None = None) -
         b = sig.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("signature").alias("sig_b"))
         return pairs.join(a, "a").join(b, "b")
 
-    tested = common.stored(likely(with_signatures(star_pairs(members)), percent / 100), f"{folder}/tested-0")
-    links = common.stored(confirmed(tested, texts, percent), f"{folder}/links-0")
-    step = 0
-    while True:
-        group = components(links, f"{folder}/group-{step}")
-        named = members.join(group, F.col("id") == F.col("node"), "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
-        open_ = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-        rest = named.join(open_, "bucket").join(sig, "id")
-        step += 1
-        found = common.stored(block_pairs(rest, percent / 100).join(tested, ["a", "b"], "left_anti"), f"{folder}/tested-{step}")
-        if found.isEmpty():
-            break
-        tested = tested.union(found)
-        links = links.union(common.stored(confirmed(found, texts, percent), f"{folder}/links-{step}"))
-    group = components(links.union(copies), f"{folder}/group-all")
+    pairs = common.stored(likely(with_signatures(star_pairs(members)), percent / 100), f"{folder}/pairs")
+    sets = shingle_sets(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), texts, f"{folder}/pair-sets")
+    links = common.stored(confirmed(pairs, sets, percent), f"{folder}/links")
+    group = components(links, f"{folder}/stars")
+    named = members.join(group, F.col("id") == F.col("node"), "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
+    mixed = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
+    edges = common.stored(likely_edges(named.join(mixed, "bucket").join(sig, "id"), percent / 100), f"{folder}/edges")
+    clusters = components(edges, f"{folder}/clusters").select(F.col("node").alias("id"), F.col("component").alias("cluster"))
+    sets = shingle_sets(clusters.select("id"), texts, f"{folder}/cluster-sets")
+    in_cluster = clusters.join(group, F.col("id") == F.col("node"), "left").select(
+        "cluster", "id", F.coalesce("component", "id").alias("component")).join(sig, "id").join(sets, "id")
+    more = common.stored(cluster_links(in_cluster, percent), f"{folder}/more-links")
+    group = components(links.union(more).union(copies), f"{folder}/groups")
     result = own.join(group, F.col("doc_id") == F.col("node"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     done = common.stored(result.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))), f"{folder}-groups")

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from martlens.llm import decontam, langid, minhash, mixing, pii, simhash, substrings, tokens, toxicity, warc
-from martlens.llm.common import table
+from martlens.llm.common import attach, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,8 +59,17 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_table(table(spark, sf_dir, "documents"))
 
 
+def _attached(query: Query) -> Query:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        attach(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f
+    f.__name__: _attached(f)
     for f in (op1_minhash, op2_tokens, op3_pii, op4_toxicity, op5_warc, op6_mixing, op7_substrings, op8_decontaminate,
               op9_langid, op10_simhash)
 }
