@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entry_points
 from compare import compare, connect
+from martlens.catalog import oracle
+from martlens.catalog import queries as catalog
 
-QUERIES = entry_points.queries()
-CHECKS = entry_points.oracle_sql()
+QUERIES, CHECKS = catalog.QUERIES, oracle.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -29,7 +30,8 @@ def test_query_without_sql_runs(name, spark, sf_dir):
 
 
 def test_every_check_has_a_query():
-    assert set(CHECKS) <= set(QUERIES)
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
+    assert set(QUERIES) <= set(entry_points.queries()) and set(CHECKS) <= set(entry_points.oracle_sql())
 
 
 def test_entry(spark):
