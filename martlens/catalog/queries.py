@@ -173,6 +173,15 @@ def survey(approximate: bool) -> Query:
         td.survey_responses(spark, sf), td.survey_labels(spark), since_year=1997, approximate=approximate)
 
 
+def survey_sketch_error(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact count of each answer, and whether the sketch is within five percent (or one) of it."""
+    key = ["survey_year", "country", "category", "metric", "response"]
+    sketch = survey(True)(spark, sf).select(*key, F.col("respondent_count").alias("_sketch"))
+    off = F.abs(F.col("_sketch") - F.col("respondent_count"))
+    return survey(False)(spark, sf).join(sketch, key).select(
+        *key, "respondent_count", (off <= F.greatest(F.lit(1.0), F.col("respondent_count") * 0.05)).alias("sketch_is_close"))
+
+
 def daily_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """Load the orders up to a day, let the rest and some corrections arrive, refresh their days."""
     orders = td.orders_events(spark, sf)
@@ -269,6 +278,7 @@ QUERIES: dict[str, Query] = {
     "segment_ladder": _table("enrichment"),
     "survey_weighted": survey(False),
     "survey_weighted_approx": survey(True),
+    "survey_sketch_error": survey_sketch_error,
     "daily_weather": _table("weather"),
     "national_daily_signal": _table("national_weather"),
     "weather_revenue": _table("weather_revenue"),
@@ -324,6 +334,23 @@ QUERIES: dict[str, Query] = {
     "sv_mix_roi": _metric(
         "advanced", rounded={"avg_roi": 4}, dimensions=["mmm_contributions.period"],
         metrics=["mmm_contributions.avg_roi", "mmm_contributions.total_attributed_revenue"]),
+    "sv_product_rows": _metric(
+        "marketing", "star", dimensions=["product_revenue.product_category", "product_revenue.product_name", "product_revenue.channel"],
+        facts=["product_revenue.total_revenue", "product_revenue.order_count"]),
+    "sv_campaign_facts": _metric(
+        "marketing", facts=["campaign_metrics.total_spend", "campaign_metrics.campaign_revenue", "campaign_metrics.roas"]),
+    "sv_geo_score": _metric(
+        "advanced", rounded={"avg_targeting_score": 6}, dimensions=["geo_profiles.state"], metrics=["geo_profiles.avg_targeting_score"]),
+    "sv_weather_band": _metric(
+        "advanced", rounded={"avg_daily_revenue": 4}, dimensions=["weather_revenue.temp_band"],
+        metrics=["weather_revenue.avg_daily_revenue"], where="weather_revenue.channel = 'DTC'"),
+    "sv_attribution_rows": _metric(
+        "advanced", dimensions=["attribution_summary.sub_channel", "attribution_summary.model_name"],
+        facts=["attribution_summary.total_attributed_revenue", "attribution_summary.conversions_attributed"],
+        where="attribution_summary.model_name = 'linear'"),
+    "sv_mix_weeks": _metric(
+        "advanced", dimensions=["mmm_weekly.week_start", "mmm_weekly.sub_channel"],
+        facts=["mmm_weekly.spend", "mmm_weekly.attributed_revenue"]),
     "sv_key_check": lambda spark, sf: MARKETING.key_check(
         tables(spark, sf), ["campaigns", "orders", "customers", "spend", "partners"]),
     "sv_key_check_customers": lambda spark, sf: ADVANCED.key_check(
