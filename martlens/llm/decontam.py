@@ -73,7 +73,7 @@ def text_hits(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     prints = bound(F.col("w"), lambda w: F.concat(winnowed(w), *[F.array_distinct(grams(w, n)) for n in short]))
     doc_prints = texts.select("key", F.explode(prints).alias("print"))
     pairs = doc_prints.join(item_prints.select("item_id", "print"), "print").select("key", "item_id").distinct()
-    per_text = pairs.join(items, "item_id").groupBy("key", "item_id").agg(F.first("v").alias("v"))
+    per_text = pairs.join(items, "item_id")  # an id with several texts gives a row for each
     # One row for each distinct text that has a candidate; the smallest id stands for its copies.
     rows = docs.select("doc_id", common.text_key(F.col("text")).alias("key"))
     one = rows.join(pairs.select("key").distinct(), "key").groupBy("key").agg(F.min("doc_id").alias("first_id")).select(F.col("key").alias("one_key"), "first_id")

@@ -390,6 +390,15 @@ def test_hits_equal_all_windows(spark):
     assert kept.count() == sum(not plain_hits(t, items)[-1] for t in texts)
 
 
+def test_every_text_of_an_item_id_counts(spark):
+    items = [(1, " ".join(f"{c}{k}" for k in range(12))) for c in "pqrst"] + [(1, "short one"), (2, "p0 p1")]
+    texts = [f"x {t} y" for _, t in items] + [f"{items[0][1]} {items[3][1]} short one", "none of them"]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    got = decontam.decontaminate(frame(spark, texts), benchmark).collect()
+    assert sorted(map(tuple, got)) == [(i, *plain_hits(t, items)) for i, t in enumerate(texts)]
+    assert [r.doc_id for r in decontam.keep_uncontaminated(frame(spark, texts), benchmark).collect()] == [len(texts) - 1]
+
+
 @pytest.mark.parametrize("name", ["op6_mixing", "op8_decontaminate", "op10_simhash"])
 def test_native_queries_run_no_python(name, spark, sf_dir):
     plan = queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
