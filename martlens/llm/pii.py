@@ -42,7 +42,13 @@ DIGIT_WORDS = (
     ("eight", "acht", "huit", "ocho"),
     ("nine", "neun", "neuf", "nueve"),
 )
-TOP_LEVEL = "com|org|net|edu|gov|info|io|de|fr|es|eu|uk"
+# Endings of a host after a bare "at", which is an ordinary word too: the general ones in wide use and all of countries.
+TOP_LEVEL = (
+    "com|org|net|edu|gov|mil|int|info|biz|name|pro|aero|coop|museum|jobs|mobi|travel|tel|cat|asia|post|app|dev|xyz|online|site|"
+    "shop|store|tech|cloud|blog|club|live|email|page|agency|swiss|berlin|hamburg|koeln|wien|bayern|london|paris|madrid|amsterdam|"
+    "a[cdefgilmoqrstuwxz]|b[abdefghijmnorstvwyz]|c[acdfghiklmnoruvwxyz]|d[ejkmoz]|e[ceghrstu]|f[ijkmor]|g[abdefghilmnpqrstuwy]|"
+    "h[kmnrtu]|i[delmnoqrst]|j[emop]|k[eghimnprwyz]|l[abcikrstuvy]|m[acdeghklmnopqrstuvwxyz]|n[acefgilopruz]|om|p[aefghklmnrstwy]|"
+    "qa|r[eosuw]|s[abcdeghijklmnorstuvxyz]|t[cdfghjklmnortvwz]|u[agksyz]|v[aceginu]|w[fs]|y[et]|z[amw]")
 
 DIGIT_OF = {w: str(d) for d, words in enumerate(DIGIT_WORDS) for w in words}
 _DIGIT = "|".join(sorted(DIGIT_OF, key=len, reverse=True))
@@ -165,30 +171,60 @@ def _plain_letter(c: str) -> str:
 GLYPH = re.compile(r"[\xa0\xadıɑɡͰ-ϿЀ-ԯ؀-ۿ०-९ -⁯⁰-₟"
                    r"℀-⅏①-⓿　﹐-﹯﻿＀-￯\U0001d400-\U0001d7ff]")
 SPELLED = re.compile(
-    rf"(?<![^\W_])(?:plus[ ,-]+)?(?:(?:{_DIGIT}|[0-9]|dot|point|dash|double|triple)(?![^\W_])[ ,-]*){{4,}}", re.IGNORECASE)
-SPELLED_PART = re.compile(rf"plus|dot|point|dash|double|triple|{_DIGIT}|[0-9]", re.IGNORECASE)
+    rf"(?<![^\W_])(?:plus[ ,-]+)?(?:(?:{_DIGIT}|[0-9]+|dot|point|dash|double|triple)(?![^\W_])[ ,-]*){{2,}}", re.IGNORECASE)
+SPELLED_PART = re.compile(rf"plus|dot|point|dash|double|triple|{_DIGIT}|[0-9]+", re.IGNORECASE)
 MIXED = re.compile(r"(?<![A-Za-z0-9])(?=[0-9]*[OolI])[OolI]*[0-9][0-9OolI]+(?![A-Za-z0-9])")
 AT_BRACKET = re.compile(r"\s*[\[({<]\s*(?:at|@|arroba)\s*[\])}>]\s*", re.IGNORECASE)
 AT_BARE = re.compile(
-    rf"(?<=[A-Za-z0-9])\s+(?:at|@|arroba)\s+(?={_LABEL}(?:{_DOT}{_LABEL}|(?:\.{_LABEL})*\.(?:{TOP_LEVEL})(?![A-Za-z0-9-])))",
+    rf"(?<=[A-Za-z0-9])\s+(?:(?:at|@|arroba)\s+(?={_LABEL}(?:{_DOT}{_LABEL}|(?:\.{_LABEL})*\.(?:{TOP_LEVEL})(?![A-Za-z0-9-])))"
+    rf"|(?:@|arroba)\s+(?={_LABEL}(?:\.{_LABEL})*\.[A-Za-z]{{2,}}(?![A-Za-z0-9-])))",
     re.IGNORECASE)
 DOT_ANY = re.compile(rf"(?<=[A-Za-z0-9]){_DOT}(?=[A-Za-z0-9])", re.IGNORECASE)
 SIGN = re.compile(rf"[\[({{<]\s{{0,9}}(?:at|@|arroba|dot|punkt|punto|\.)\s{{0,9}}[\])}}>]|\s(?:dot|punkt|punto|arroba)\s|\s@\s", re.IGNORECASE)
 AT_TLD = re.compile(rf"\sat\s{{1,9}}[A-Za-z0-9.-]{{1,253}}\.(?:{TOP_LEVEL})(?![A-Za-z0-9-])", re.IGNORECASE)
 
 
+_SIGNS = {"plus": "+", "dot": ".", "point": ".", "dash": "-"}
+
+
+def _spells_number(m: re.Match, words: list[str]) -> bool:
+    """Whether a run of digit words, numerals and sign words is to be read as one number.
+
+    Four parts with three digit words are. Fewer are if the run begins and ends with digits and holds numerals, a plus or
+    a dot word; a single digit word must stand between digits or after a plus then, or with a dot word.
+    """
+    n = sum(w in DIGIT_OF for w in words)
+    if n >= 3 and len(words) >= 4:
+        return True
+    plus = words[0] == "plus" or m.string[m.start() - 1:m.start()] == "+"
+    run = words[words[0] == "plus":]
+    if not n or not all(w in DIGIT_OF or w.isdecimal() for w in (run[0], run[-1])):
+        return False
+    if "dot" in run or "point" in run:
+        return True
+    if n == 1 and (run[-1] in DIGIT_OF or run[0] in DIGIT_OF and not plus):
+        return False
+    return plus or any(w.isdecimal() for w in run)
+
+
 def _digits(m: re.Match) -> list[tuple[str, int, int]] | None:
-    base, out, times, at = m.start(), [], 1, m.start()
+    base, out, times, at, last = m.start(), [], 1, m.start(), None
     found = list(SPELLED_PART.finditer(m.group()))
-    if sum(p.group().lower() in DIGIT_OF for p in found) < 3:
+    if not _spells_number(m, [p.group().lower() for p in found]):
         return None
     for p in found:
         word, a, b = p.group().lower(), base + p.start(), base + p.end()
+        # What parts a numeral of several digits from other digits stays: it may be a number of its own.
+        if last and word not in _SIGNS and last.group().lower() not in _SIGNS and (len(last.group()) > 1 and last.group().isdecimal() or len(word) > 1 and word.isdecimal()):
+            out += [(m.string[i], i, i + 1) for i in range(base + last.end(), a)]
+        last = p
         if word in ("double", "triple"):
             times, at = (2 if word == "double" else 3), a
             continue
-        sign = {"plus": "+", "dot": ".", "point": ".", "dash": "-"}.get(word) or DIGIT_OF.get(word, word)
-        out += [(sign, at if times > 1 else a, b)] * times
+        if len(word) > 1 and word.isdecimal():
+            out += [(c, a + i, a + i + 1) for i, c in enumerate(word)]
+        else:
+            out += [(_SIGNS.get(word) or DIGIT_OF.get(word, word), at if times > 1 else a, b)] * times
         times = 1
     tail = m.group()[found[-1].end():]
     return out + [(c, base + found[-1].end() + i, base + found[-1].end() + i + 1) for i, c in enumerate(tail)]

@@ -216,6 +216,21 @@ def test_disguised_identifiers_map_back(text, found):
     assert [s for s in spans if s in found] == found and (found or not spans)
 
 
+@pytest.mark.parametrize("text, found", [
+    ("write jane @ example.nl or", [("email", "jane @ example.nl")]),
+    ("write jane at example.ch.", [("email", "jane at example.ch")]),
+    ("jane arroba mail.example.swiss", [("email", "jane arroba mail.example.swiss")]),
+    ("call +49 one seven six 5550199 now", [("phone", "+49 one seven six 5550199")]),
+    ("call +49 17 six 5550199 now", [("phone", "+49 17 six 5550199")]),
+    ("host 192 dot 168 dot one dot five is up", [("ip", "192 dot 168 dot one dot five")]),
+    ("jane at one dot two dot com", [("email", "jane at one dot two dot com")]),
+    ("+49 176 5550199 one of them", [("phone", "+49 176 5550199")]),
+    ("one of 2019, two or 3 at noon", []),
+])
+def test_short_disguises_map_back(text, found):
+    assert [(pii.KINDS[k], text[s:e]) for s, k, e in pii.all_spans(text)[1]] == found
+
+
 def test_awkward_texts_take_little_time(spark):
     rows = pii.find_pii(frame(spark, AWKWARD + ["1" * 200_000, "a" * 200_000 + "@", "1 " * 100_000, "one " * 50_000])).collect()
     assert len(rows) == len(AWKWARD) + 4
