@@ -261,7 +261,8 @@ def lookup(urls: DataFrame, directory: DataFrame) -> DataFrame:
             yield pa.record_batch([pa.array([r[0] for r in rows], pa.string()), *inner.columns], names=["url", *inner.schema.names])
 
     sent = urls.select("url").distinct().mapInArrow(send, "url string, key string, segment string")
-    return sent.repartition("segment", "key").sortWithinPartitions("segment", "key").mapInArrow(find, f"url string, {ENTRY}")
+    # By ranges, so that a block is read by one or two tasks, not by all.
+    return sent.repartitionByRange("segment", "key").sortWithinPartitions("segment", "key").mapInArrow(find, f"url string, {ENTRY}")
 
 
 RECORD = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -296,7 +297,7 @@ def read_records(entries: DataFrame) -> DataFrame:
 
 
 def archive(pages: DataFrame, folder: str | None = None) -> DataFrame:
-    """Write ``pages`` (page_id, url, html) and their index, and read all records back through the index.
+    """Write ``pages`` (page_id, url, html) and their index, look up all their URLs and read the found records back.
 
     One row per page: page_id, payload_bytes, payload_digest, record_type, refers_to. Null html is an empty payload. A
     page without an id is a revisit of an equal payload that has one, and a response otherwise; rows that repeat the
@@ -305,4 +306,6 @@ def archive(pages: DataFrame, folder: str | None = None) -> DataFrame:
     folder = folder or common.run_folder(pages.sparkSession, "warc")
     entries = write_archives(pages.select("page_id", "url", "html"), folder)
     directory = write_index(entries, f"{folder}/index")
-    return read_records(read_index(directory)).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    # URLs that differ in scheme or fragment share a key, and each finds the entries of all.
+    found = lookup(pages.select("url"), directory).select("file", "offset", "length").distinct()
+    return read_records(common.stored(found, f"{folder}/found")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

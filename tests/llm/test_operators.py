@@ -310,6 +310,14 @@ def test_archive_round_trip_and_lookup(spark, tmp_path, monkeypatch):
     assert len(keys) > 10 and keys == sorted(keys)
 
 
+def test_archive_searches_its_index(spark, tmp_path, monkeypatch):
+    asked, search = [], warc.lookup
+    monkeypatch.setattr(warc, "lookup", lambda urls, directory: (asked.extend(r.url for r in urls.collect()), search(urls, directory))[1])
+    pages = [(1, "http://a.org/x", "p"), (2, "https://a.org/x#f", "q"), (3, None, "r"), (4, "", None), (5, "http://a.org/x", "p")]
+    rows = warc.archive(spark.createDataFrame(pages, "page_id long, url string, html string"), str(tmp_path / "w")).collect()
+    assert {u for _, u, _ in pages} == set(asked) and sorted(r.page_id for r in rows) == [1, 2, 3, 4, 5]
+
+
 # -- 6 mixing ----------------------------------------------------------------------------------------------------------
 @pytest.mark.parametrize("weights", [{"a": 1}, {"a": 5, "b": 3, "c": 2}, {chr(97 + i): 1 + i * i for i in range(12)}])
 def test_every_prefix_is_within_a_block_of_its_share(spark, weights):
