@@ -4,10 +4,10 @@ The classifier sees confirmed toxic texts (positives) and unlabelled texts, neve
 prior p, the risk of a scorer g is estimated as ``p R+(g, 1) + max(0, Ru(g, 0) - p R+(g, 0))``: the unlabelled part
 minus what positives contribute to it estimates the risk on clean texts, and must not become negative.
 
-Steps: (1) choose by a hash at most about ``max_positive`` positives and ``max_unlabelled`` documents, one for each
-distinct text; (2) on executors, count in how many of them, and of the positives among them, each hashed word occurs,
-and keep the words that a G test calls telling; (3) fit a linear model with numpy on the kept words of that sample;
-(4) score every whole text of the corpus.
+Steps: (1) on executors, count in how many distinct texts of the corpus, and of the positives among them, each hashed
+word occurs, and keep the words that a G test calls telling; (2) choose by a hash at most about ``max_positive``
+positives and ``max_unlabelled`` documents, one for each distinct text; (3) fit a linear model with numpy on the kept
+words of that sample; (4) score every whole text of the corpus.
 """
 
 from __future__ import annotations
@@ -143,29 +143,31 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, *, prior: float | N
     # One row for each text (by its 128-bit key): copies would make the words of one document look telling.
     keyed = docs.select("doc_id", common.text_key("text").alias("key"))
     first = (keyed.join(known.where("positive"), "doc_id", "left").groupBy("key")
-             .agg(F.max(F.coalesce("positive", F.lit(False))).alias("positive"), F.min("doc_id").alias("doc_id")))
+             .agg(F.max(F.coalesce("positive", F.lit(False))).alias("positive"), F.min("doc_id").alias("doc_id"),
+                  F.min(F.xxhash64("doc_id")).alias("mark")))
     counted = first.agg(F.count("*").alias("n"), F.sum(F.col("positive").cast("long")).alias("p")).first()
     if not counted.p:
         return empty
+    # The mark names one row of each text, also where the id is null, and spreads the copies of a usual text over tasks.
+    marked = docs.select("text", common.text_key("text").alias("key"), F.xxhash64("doc_id").alias("mark"))
+    distinct = marked.join(first.select("key", "mark", "positive"), ["key", "mark"]).dropDuplicates(["key", "mark"])
+    kept = telling_buckets(bucket_counts(distinct), counted.p, counted.n, max_features)
     rank = F.xxhash64(F.lit("sample"), "doc_id")
     share_p, share_u = min(1.0, max_positive / counted.p), min(1.0, max_unlabelled / counted.n)
     chosen = first.select("doc_id", "positive", (F.shiftrightunsigned(rank, 11) / float(1 << 53)).alias("u"))
-    chosen = chosen.select("doc_id", "positive", (F.col("positive") & (F.col("u") <= share_p)).alias("as_p"),
+    chosen = chosen.select("doc_id", (F.col("positive") & (F.col("u") <= share_p)).alias("as_p"),
                            (F.col("u") <= share_u).alias("as_u")).where("as_p or as_u")
-    rows = docs.join(chosen, "doc_id").select("doc_id", "text", "positive", "as_p", "as_u").dropDuplicates(["doc_id"])
-    picked = common.stored(rows, folder := common.run_folder(docs.sparkSession, "toxicity"))
-    totals = picked.agg(F.count("*").alias("n"), F.sum(F.col("positive").cast("long")).alias("p")).first()
-    kept = telling_buckets(bucket_counts(picked), totals.p, totals.n, max_features)
+    # The sample is bounded, so it goes to the texts, and only features are shuffled for it.
+    picked = docs.join(F.broadcast(chosen), "doc_id").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "as_p", "as_u")
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             row, feature = features(batch.column("text"), kept)
             index = np.searchsorted(row, np.arange(batch.num_rows + 1))
-            yield pa.record_batch([common.grouped(feature.astype(np.int32), index), batch.column("as_p"), batch.column("as_u")],
-                                  names=["f", "as_p", "as_u"])
+            yield pa.record_batch([batch.column("doc_id"), common.grouped(feature.astype(np.int32), index), batch.column("as_p"), batch.column("as_u")],
+                                  names=["doc_id", "f", "as_p", "as_u"])
 
-    sample = picked.select("text", "as_p", "as_u").mapInArrow(sparse, "f array<int>, as_p boolean, as_u boolean").collect()
-    common.remove_folder(docs.sparkSession, folder)
+    sample = picked.mapInArrow(sparse, "doc_id long, f array<int>, as_p boolean, as_u boolean").dropDuplicates(["doc_id"]).collect()
     w, b = fit_nnpu([r.f for r in sample if r.as_p], [r.f for r in sample if r.as_u], len(kept), prior)
     return Model(kept, w, b)
 

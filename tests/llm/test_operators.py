@@ -256,6 +256,19 @@ def test_held_out_labels_are_not_used(spark, sf_dir):
     assert a == b
 
 
+def test_words_are_counted_in_all_distinct_texts(spark, monkeypatch):
+    seen, choose = [], toxicity.telling_buckets
+    monkeypatch.setattr(toxicity, "telling_buckets", lambda counts, positives, total, most: (
+        seen.append(({r.bucket: (r.n_positive, r.n_all) for r in counts.collect()}, positives, total)), choose(counts, positives, total, most))[1])
+    texts = [f"vile word{i}" for i in range(20)] + [f"vile rare{i}" for i in range(200)] + [f"plain word{i}" for i in range(200)]
+    docs = frame(spark, texts + texts[:50] + ["of no id"], [*range(len(texts) + 50), None])
+    labels = spark.createDataFrame([(i, int(i < 20)) for i in range(220)], "doc_id long, toxic int")
+    toxicity.train(docs, labels, F.lit(True), max_unlabelled=20, max_positive=5)
+    row, bucket = toxicity.bucket_sets(pa.array([*texts, "of no id"]))
+    want = {int(b): (int(((bucket == b) & (row < 20)).sum()), int((bucket == b).sum())) for b in set(bucket)}
+    assert seen == [(want, 20, len(texts) + 1)]
+
+
 def test_risk_stays_non_negative():
     rng = np.random.default_rng(5)
     toxic = [[0, int(rng.integers(2, 30))] for _ in range(40)]
