@@ -7,7 +7,8 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlens.llm import decontam, langid, minhash, mixing, pii, simhash, substrings, tokens, toxicity, warc
+from martlens.llm import (decontam, golay, langid, minhash, mixing, pii, repair, simhash, substrings, tokens, toxicity, trie,
+                          warc)
 from martlens.llm.common import attach, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +60,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprint_table(table(spark, sf_dir, "documents"))
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return golay.near_groups(table(spark, sf_dir, "documents"))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_table(table(spark, sf_dir, "conversations"))
+
+
 def _attached(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,5 +84,5 @@ def _attached(query: Query) -> Query:
 QUERIES: dict[str, Query] = {
     f.__name__: _attached(f)
     for f in (op1_minhash, op2_tokens, op3_pii, op4_toxicity, op5_warc, op6_mixing, op7_substrings, op8_decontaminate,
-              op9_langid, op10_simhash)
+              op9_langid, op10_simhash, op11_trie, op12_golay, op13_repair)
 }
