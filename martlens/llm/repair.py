@@ -175,25 +175,46 @@ def crossings(tables: list[Table], start: int, end: list[int]) -> list[int]:
     return states
 
 
-def block_table(kinds: list[str]) -> Table:
-    """One table for a block of rows."""
-    tables = [ranked(k) for k in kinds]
+def combined(tables: list[Table]) -> Table:
+    """One table for several in a row."""
     return tuple(tuple(forward(start_at(s), tables)) for s in range(4))
 
 
-def block_letters(kinds: list[str], start: int, to: int) -> str:
-    """Letters of a block that is entered and left in known states."""
-    states = crossings([ranked(k) for k in kinds], start, [0 if s == to else NO for s in range(4)])
-    return "".join(row_table(k)[a][b][1] for k, a, b in zip(kinds, [start, *states], states, strict=False))
+#: Rows whose tables and letters a worker remembers; there are 16 kinds of rows that differ.
+CHUNK = 4
+
+
+@lru_cache(1 << 16)
+def chunk_table(kinds: str) -> Table:
+    return combined([ranked(kinds[k:k + 2]) for k in range(0, len(kinds), 2)])
+
+
+@lru_cache(1 << 18)
+def chunk_letters(kinds: str, start: int, to: int) -> str:
+    rows = [kinds[k:k + 2] for k in range(0, len(kinds), 2)]
+    states = crossings([ranked(k) for k in rows], start, [0 if s == to else NO for s in range(4)])
+    return "".join(row_table(k)[a][b][1] for k, a, b in zip(rows, [start, *states], states, strict=False))
 
 
-def _kinds(text: str) -> list[str]:
-    return [text[k:k + 2] for k in range(0, len(text), 2)]
+def _chunks(kinds: str) -> list[str]:
+    return [kinds[k:k + 2 * CHUNK] for k in range(0, len(kinds), 2 * CHUNK)]
+
+
+def block_table(kinds: str) -> Table:
+    """One table for a block of rows, given as two characters a row."""
+    return combined([chunk_table(c) for c in _chunks(kinds)])
+
+
+def block_letters(kinds: str, start: int, to: int) -> str:
+    """Letters of a block that is entered and left in known states."""
+    chunks = _chunks(kinds)
+    states = crossings([chunk_table(c) for c in chunks], start, [0 if s == to else NO for s in range(4)])
+    return "".join(chunk_letters(c, a, b) for c, a, b in zip(chunks, [start, *states], states, strict=False))
 
 
 def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        made = [[v for row in block_table(_kinds(k)) for pair in row for v in pair] for k in batch.column("kinds").to_pylist()]
+        made = [[v for row in block_table(k) for pair in row for v in pair] for k in batch.column("kinds").to_pylist()]
         yield pa.record_batch([batch.column("conv"), batch.column("block"), pa.array(made, pa.list_(pa.int64()))], names=["conv", "block", "made"])
 
 
@@ -227,7 +248,7 @@ def _state_rows(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
 def _letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         columns = (batch.column(c).to_pylist() for c in ("kinds", "into", "out", "last"))
-        made = [block_letters(_kinds(k), a, b) + (END[b][0] if last else "") for k, a, b, last in zip(*columns, strict=True)]
+        made = [block_letters(k, a, b) + (END[b][0] if last else "") for k, a, b, last in zip(*columns, strict=True)]
         yield pa.record_batch([batch.column("conv"), batch.column("block"), pa.array(made, pa.string())], names=["conv", "block", "letters"])
 
 

@@ -125,9 +125,9 @@ def test_divide_and_conquer_equals_whole_strings(size):
     for _ in range(60 if size < 50 else 5):
         kinds = [rng.choice("suax") + rng.choice("oootdb") for _ in range(size)]
         cost, letters = plain_repair(kinds)
-        tables = [repair.block_table(kinds[k:k + 7]) for k in range(0, size, 7)]
+        tables = [repair.block_table("".join(kinds[k:k + 7])) for k in range(0, size, 7)]
         states = repair.crossings(tables, 0, [c for _, c in repair.END])
-        got = "".join(repair.block_letters(kinds[7 * k:7 * k + 7], a, b) for k, (a, b) in enumerate(zip([0, *states], states)))
+        got = "".join(repair.block_letters("".join(kinds[7 * k:7 * k + 7]), a, b) for k, (a, b) in enumerate(zip([0, *states], states)))
         got += repair.END[states[-1]][0] if states else ""
         assert got == letters
         assert cost == sum({"K": 0, "R": 1, "D": 2, "I": 5}[x] for x in letters) + 5 * sum(
