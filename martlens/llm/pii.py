@@ -14,7 +14,9 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -54,10 +56,11 @@ DIGIT_OF = {w: str(d) for d, words in enumerate(DIGIT_WORDS) for w in words}
 _DIGIT = "|".join(sorted(DIGIT_OF, key=len, reverse=True))
 _LABEL = r"[A-Za-z0-9-]+"
 _LOCAL = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-"
-_DOT = r"(?:\s+(?:dot|punkt|punto)\s+|\s*[\[({<]\s*(?:dot|punkt|punto|\.)\s*[\])}>]\s*)"
+_DOT = r"(?:\s+(?:dot|punkt|punto)\s+|(?<!\s)\s*[\[({<]\s*(?:dot|punkt|punto|\.)\s*[\])}>]\s*)"
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)+")
+# A chain starts where a run of digits starts and gives nothing back, so no digit is tried twice.
+CHAIN = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -174,7 +177,7 @@ SPELLED = re.compile(
     rf"(?<![^\W_])(?:plus[ ,-]+)?(?:(?:{_DIGIT}|[0-9]+|dot|point|dash|double|triple)(?![^\W_])[ ,-]*){{2,}}", re.IGNORECASE)
 SPELLED_PART = re.compile(rf"plus|dot|point|dash|double|triple|{_DIGIT}|[0-9]+", re.IGNORECASE)
 MIXED = re.compile(r"(?<![A-Za-z0-9])(?=[0-9]*[OolI])[OolI]*[0-9][0-9OolI]+(?![A-Za-z0-9])")
-AT_BRACKET = re.compile(r"\s*[\[({<]\s*(?:at|@|arroba)\s*[\])}>]\s*", re.IGNORECASE)
+AT_BRACKET = re.compile(r"(?<!\s)\s*[\[({<]\s*(?:at|@|arroba)\s*[\])}>]\s*", re.IGNORECASE)
 AT_BARE = re.compile(
     rf"(?<=[A-Za-z0-9])\s+(?:(?:at|@|arroba)\s+(?={_LABEL}(?:{_DOT}{_LABEL}|(?:\.{_LABEL})*\.(?:{TOP_LEVEL})(?![A-Za-z0-9-])))"
     rf"|(?:@|arroba)\s+(?={_LABEL}(?:\.{_LABEL})*\.[A-Za-z]{{2,}}(?![A-Za-z0-9-])))",
@@ -270,10 +273,12 @@ def all_spans(text: str) -> tuple[list[Span], list[Span]]:
     aligned = Aligned.source(text)
     for pattern, parts in CHAIN_OF_TRANSDUCERS:
         aligned = aligned.rewrite(pattern, parts)
+    of_kind = [[(x, y) for x, j, y in base if j == k] for k in range(len(KINDS))]  # in order, without overlap
     added = set()
     for s, k, e in plain_spans(aligned.text):
         a, b = int(aligned.start[s]), int(aligned.end[e - 1])
-        if text[a:b] != aligned.text[s:e] and not any(x <= a and b <= y and k == j for x, j, y in base):
+        before = bisect_right(of_kind[k], a, key=itemgetter(0))
+        if text[a:b] != aligned.text[s:e] and not (before and b <= of_kind[k][before - 1][1]):
             added.add((a, k, b))
     return base, sorted({*base, *added})
 

@@ -5,9 +5,10 @@ bytes. Byte lengths stand apart from the data: a control byte holds the lengths
 first) of four ranks. A reader looks up each control byte in a 256-row table, which gives the four lengths at once, and
 gathers all ranks of a file without a loop.
 
-File: magic, u32 documents, u64 ids, u64 ids before this file, then per document doc_id i64, null flag u8 and ids u32,
-then all control bytes, then all data bytes. Each document starts a new control byte. ``codebook.bin`` holds the id of
-each rank as u32. Files hold documents in ascending doc_id order (null first), and file names sort the same way.
+File: magic, u32 documents, u64 ids, then per document doc_id i64, null flag u8 and ids u32, then all control bytes,
+then all data bytes. Each document starts a new control byte. ``codebook.bin`` holds the id of each rank as u32, the
+table ``files`` each file with the ids before it. Files hold documents in ascending doc_id order (null first), and file
+names sort the same way.
 """
 
 from __future__ import annotations
@@ -18,21 +19,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlens.llm import common, files
-from martlens.llm.common import LOWER, slices, text_bytes, word_hashes, words_of
+from martlens.llm.common import LOWER, slices, text_bytes, word_hashes
 
-MAGIC = b"RVB1"
-HEAD = "<4sIQQ"
+MAGIC = b"RVB2"
+HEAD = "<4sIQ"
 
-#: Ids after which a file is closed.
-FILE_IDS = 4_000_000
+#: Ids after which a file is closed, ids of a range that one task writes, and files that one task reads.
+FILE_IDS, RANGE_IDS, READ_FILES = 4_000_000, 32_000_000, 4
 
-#: Distinct words a worker keeps the ids of.
-CACHE_WORDS = 1_000_000
+#: Bytes of the pieces and ids that a worker remembers, but for those of one batch.
+CACHE_BYTES = 40_000_000
 
 
 # -- variable-length coding --------------------------------------------------------------------------------------------
@@ -40,17 +41,22 @@ CACHE_WORDS = 1_000_000
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint8) + 1
 
 
-def encode(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """Control bytes and data bytes of unsigned 32-bit ranks."""
+def encode(ranks: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Control bytes and data bytes of documents with ``counts`` unsigned 32-bit ranks each.
+
+    Gives the control bytes, the n + 1 offsets of the documents in them, the data bytes, and their offsets.
+    """
     ranks = np.ascontiguousarray(ranks, dtype="<u4")
-    n = len(ranks)
     size = 1 + (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    code = np.zeros(-(-n // 4) * 4, np.uint8)
-    code[:n] = size - 1
+    groups = np.concatenate([[0], np.cumsum(-(-counts // 4))])
+    index = np.concatenate([[0], np.cumsum(counts)])
+    code = np.zeros(4 * int(groups[-1]), np.uint8)
+    code[np.arange(len(ranks)) + np.repeat(4 * groups[:-1] - index[:-1], counts)] = size - 1
     four = code.reshape(-1, 4)
     control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
     used = np.arange(4, dtype=np.uint8) < size[:, None]
-    return control.astype(np.uint8).tobytes(), ranks.view(np.uint8).reshape(-1, 4)[used].tobytes()
+    ends = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+    return control.astype(np.uint8), groups, ranks.view(np.uint8).reshape(-1, 4)[used], ends[index]
 
 
 def decode(control: np.ndarray, counts: np.ndarray, data: np.ndarray) -> np.ndarray:
@@ -69,13 +75,49 @@ def decode(control: np.ndarray, counts: np.ndarray, data: np.ndarray) -> np.ndar
 
 
 # -- words to ids ------------------------------------------------------------------------------------------------------
+def _piece_classes() -> np.ndarray:
+    """By byte: 1 for ASCII letters, 2 for digits, 3 for other visible ASCII but the apostrophe, 0 for all else."""
+    kinds = np.zeros(256, np.uint8)
+    for b in range(0x21, 0x7F):
+        c = chr(b)
+        kinds[b] = 1 if c.isalpha() else 2 if c.isdecimal() else 0 if c == "'" else 3
+    return kinds
+
+
+PIECE_CLASS = _piece_classes()
+
+
+def pieces_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of pieces that the tokenizer splits too, and the index of each text's first one (n + 1 values).
+
+    Pieces end at white space, between an ASCII letter, digit or other sign and one of another class, and after each
+    digit. An apostrophe and bytes beyond ASCII are never parted from their neighbours.
+    """
+    kind, white = PIECE_CLASS[raw], common.WHITE[raw]
+    edge = np.zeros(len(raw) + 1, bool)
+    edge[1:-1] = (white[1:] != white[:-1]) | ((kind[1:] > 0) & (kind[:-1] > 0) & ((kind[1:] != kind[:-1]) | (kind[1:] == 2)))
+    edge[offsets] = True
+    edge[[0, -1]] = True
+    cuts = np.flatnonzero(edge)
+    starts, ends = cuts[:-1], cuts[1:]
+    held = ~white[starts] if len(starts) else np.zeros(0, bool)
+    starts, ends = starts[held], ends[held]
+    return starts, ends, np.searchsorted(starts, offsets)
+
+
+#: Pieces encoded in one call, with a sign between them that is a token of its own.
+JOINED, MARK = 256, "|"
+
+
 class WordEncoder:
-    """Ids of whole texts, looked up word by word.
+    """Ids of whole texts, looked up piece by piece.
 
-    White space ends a piece in the tokenizer's own splitting and is dropped, so the ids of a text are those of its
-    words in a row; a word is encoded once per worker. Lower-casing A to Z first changes nothing, as the tokenizer
-    does it too. This holds only for tokenizers that say so in their file (``by_words``); for any other, and for texts
-    that hold the start of a special token, whole texts are encoded.
+    The tokenizer itself drops white space and parts letters, digits and other signs, so the ids of a text are those of
+    its pieces in a row; a piece is encoded once per worker while it is remembered. Lower-casing A to Z first changes
+    nothing, as the tokenizer does it too. This holds only for tokenizers that say so in their file (``by_words``); for
+    any other, and for texts that hold the start of a special token, whole texts are encoded.
+
+    What is remembered are four arrays, ``CACHE_BYTES`` at most; beyond that, pieces met only once are forgotten.
     """
 
     def __init__(self, path: str):
@@ -84,39 +126,49 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.by_words = _drops_white_space(path)
-        self.clear()
+        mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
+        self.keep(np.zeros(0, bool), np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(0, np.uint32))
 
-    def clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)  # word hashes, sorted
-        self.place = np.zeros(0, np.int64)  # their places in index
-        self.index = np.zeros(1, np.int64)  # where the ids of each word start
-        self.ids = np.zeros(0, np.uint32)
-        self.cores: dict[bytes, list[int]] = {}
+    def keep(self, kept: np.ndarray, keys: np.ndarray, index: np.ndarray, ids: np.ndarray) -> None:
+        """Remember the ``kept`` ones of the pieces with these sorted hashes; piece k has ids index[k] to index[k + 1]."""
+        length = np.diff(index)
+        self.keys, self.ids = keys[kept], ids[np.repeat(kept, length)]
+        self.index = np.concatenate([[0], np.cumsum(length[kept])])
+        self.again = np.zeros(len(self.keys), bool)  # met after the batch that brought it
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _encode_words(self, words: list[bytes]) -> list[list[int]]:
-        """Trailing ASCII punctuation is a piece of its own after an ASCII letter or digit, so it is encoded apart."""
-        split = []
-        for w in words:
-            core = w.rstrip(_PUNCTUATION)
-            split.append((core, w[len(core):]) if core and core[-1:].isalnum() else (w, b""))
-        new = list({part for pair in split for part in pair if part and part not in self.cores})
-        for part, e in zip(new, self.tokenizer.encode_batch_fast([x.decode() for x in new], add_special_tokens=False), strict=True):
-            self.cores[part] = e.ids
-        self.cores[b""] = []
-        return [self.cores[a] + self.cores[b] for a, b in split]
-
-    def learn(self, hashes: np.ndarray, words: list[bytes]) -> None:
-        found = self._encode_words(words)
-        place = len(self.index) - 1 + np.arange(len(words))
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        self.index = np.concatenate([self.index, self.index[-1] + np.cumsum(lengths)])
-        self.ids = np.concatenate([self.ids, np.fromiter((i for ids in found for i in ids), np.uint32)])
-        keys, place = np.concatenate([self.keys, hashes]), np.concatenate([self.place, place])
-        order = np.argsort(keys)
-        self.keys, self.place = keys[order], place[order]
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces and how many each has."""
+        plain = [k for k, w in enumerate(pieces) if MARK not in w] if self.mark is not None else []
+        parts: list[np.ndarray | None] = [None] * len(pieces)
+        groups = [plain[k:k + JOINED] for k in range(0, len(plain), JOINED)]
+        texts = [f" {MARK} ".join([pieces[k] for k in group]) for group in groups]
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, np.uint32)
+            cuts = np.flatnonzero(ids == self.mark)
+            if len(cuts) == len(group) - 1:
+                at = [-1, *cuts.tolist(), len(ids)]
+                for k, a, b in zip(group, at[:-1], at[1:], strict=True):
+                    parts[k] = ids[a + 1:b]
+        rest = [k for k, part in enumerate(parts) if part is None]
+        for k, e in zip(rest, self.tokenizer.encode_batch_fast([pieces[k] for k in rest], add_special_tokens=False), strict=True):
+            parts[k] = np.array(e.ids, np.uint32)
+        return np.concatenate([*parts, np.zeros(0, np.uint32)]), np.fromiter(map(len, parts), np.int64, len(parts))
+
+    def learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
+        """Merge new pieces, given in the order of their hashes, into the sorted arrays."""
+        if self.keys.nbytes + self.ids.nbytes + self.index.nbytes > CACHE_BYTES:
+            often = self.again if 2 * self.again.sum() < len(self.again) else np.zeros(len(self.again), bool)
+            self.keep(often, self.keys, self.index, self.ids)
+        ids, counts = self.encode_pieces(pieces)
+        at = np.searchsorted(self.keys, hashes)
+        length = np.insert(np.diff(self.index), at, counts)
+        self.ids = np.insert(self.ids, np.repeat(self.index[at], counts), ids)
+        self.index = np.concatenate([[0], np.cumsum(length)])
+        self.keys, self.again = np.insert(self.keys, at, hashes), np.insert(self.again, at, False)
 
     def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.searchsorted(self.keys, hashes)
@@ -131,24 +183,25 @@ class WordEncoder:
         if odd:
             parts = [self.whole(t or "") for t in column.to_pylist()]
             return np.concatenate([*parts, np.zeros(0, np.uint32)]), np.cumsum([0, *map(len, parts)])
-        starts, ends, first = words_of(raw, offsets)
+        starts, ends, first = pieces_of(raw, offsets)
         hashes, example, back = np.unique(word_hashes(raw, starts, ends, LOWER), return_index=True, return_inverse=True)
         at, known = self._find(hashes)
+        self.again[at[known]] = True
         if not known.all():
             new = np.flatnonzero(~known)
-            if len(self.keys) + len(new) > CACHE_WORDS:  # forget the earlier words and learn all of this batch
-                self.clear()
-                new = np.arange(len(hashes))
-            self.learn(hashes[new], [raw[starts[k]:ends[k]].tobytes().lower() for k in example[new]])
-            at, _ = self._find(hashes)
-        place = self.place[at][back]
-        length = (self.index[1:] - self.index[:-1])[place]
+            self.learn(hashes[new], [raw[a:b].tobytes().lower().decode() for a, b in zip(starts[example[new]], ends[example[new]], strict=True)])
+            at, known = self._find(hashes)
+            if not known.all():  # some were forgotten to make room
+                new = np.flatnonzero(~known)
+                self.learn(hashes[new], [raw[a:b].tobytes().lower().decode() for a, b in zip(starts[example[new]], ends[example[new]], strict=True)])
+                at, _ = self._find(hashes)
+        place = at[back]
+        length = np.diff(self.index)[place]
         ends_of = np.cumsum(length)
         which = np.repeat(self.index[place] - (ends_of - length), length) + np.arange(int(ends_of[-1]) if len(ends_of) else 0)
         return self.ids[which], np.concatenate([[0], ends_of])[first]
 
 
-_PUNCTUATION = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum() and b != ord("'"))
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -173,138 +226,128 @@ def encoder(path: str) -> WordEncoder:
 
 
 # -- operator ----------------------------------------------------------------------------------------------------------
+def _binary(data: np.ndarray, index: np.ndarray) -> pa.Array:
+    """Binary column from bytes and n + 1 offsets."""
+    return pa.Array.from_buffers(pa.binary(), len(index) - 1, [None, pa.py_buffer(index.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def _flat(column: pa.Array) -> np.ndarray:
+    """All ids of a binary column of little-endian unsigned 32-bit integers, one document after the other."""
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[at[0]:at[-1]].view("<u4") if data is not None and len(column) else np.zeros(0, "<u4")
+
+
 def tokenize(docs: DataFrame, vocabulary: str, end_id: int, order: str | None = None) -> DataFrame:
-    """(doc_id, place, n, ids): the ids of each text with the end id, as zstd-compressed integers behind their width."""
+    """(doc_id, place, n, ids): the ids of each text with the end id, as little-endian unsigned 32-bit integers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             ids, index = encoder(vocabulary).batch(batch.column("text"))
-            packed, n = [], []
-            for a, b in zip(index[:-1], index[1:], strict=True):
-                own = np.append(ids[a:b], np.uint32(end_id))
-                width = 2 if own.max() < 1 << 16 else 4
-                packed.append(bytes([width]) + pa.compress(own.astype(f"<u{width}").tobytes(), codec="zstd", asbytes=True))
-                n.append(len(own))
+            ids = np.insert(ids, index[1:], np.uint32(end_id)).astype("<u4")
+            index = index + np.arange(len(index))
             yield pa.record_batch([batch.column("doc_id").cast(pa.int64()), batch.column("place").cast(pa.int64()),
-                                   pa.array(n, pa.int64()), pa.array(packed, pa.binary())], names=["doc_id", "place", "n", "ids"])
+                                   pa.array(np.diff(index), pa.int64()), _binary(ids.view(np.uint8), 4 * index)], names=["doc_id", "place", "n", "ids"])
 
     place = F.col(order) if order else F.col("doc_id")
     return docs.select("doc_id", place.cast("long").alias("place"), "text").mapInArrow(
         run, "doc_id long, place long, n long, ids binary")
 
 
-def unpacked(n: int, ids: bytes) -> np.ndarray:
-    """The first byte tells the width of an id."""
-    kind = f"<u{ids[0]}"
-    return np.frombuffer(pa.decompress(ids[1:], n * ids[0], codec="zstd", asbytes=True), kind)
-
-
 def frequency_ranks(coded: DataFrame) -> np.ndarray:
     """Ids by falling corpus frequency (ties by id): entry r is the id of rank r. As long as the vocabulary in use."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << 16, np.int64)
-        for batch in batches:
-            for n, ids in zip(batch.column("n").to_pylist(), batch.column("ids").to_pylist(), strict=True):
-                part = np.bincount(unpacked(n, ids))
-                if len(part) > len(total):
-                    total = np.append(total, np.zeros(len(part) - len(total), np.int64))
-                total[:len(part)] += part
+        for batch in slices(batches, "ids"):
+            part = np.bincount(_flat(batch.column("ids")))
+            if len(part) > len(total):
+                total = np.append(total, np.zeros(len(part) - len(total), np.int64))
+            total[:len(part)] += part
         seen = np.flatnonzero(total)
         if len(seen):
             yield pa.record_batch([pa.array(seen), pa.array(total[seen])], names=["id", "n"])
 
-    rows = coded.select("n", "ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    rows = coded.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     return np.array([r.id for r in sorted(rows, key=lambda r: (-r.n, r.id))], np.uint32)
 
 
 def write_files(coded: DataFrame, folder: str, codebook: np.ndarray) -> DataFrame:
     """Write all files of a corpus; gives (file, first, n_docs, n_ids) per file, ``first`` being the ids before it.
 
-    Documents are dealt to ranges of ``place`` by approximate quantiles; only these, bounded in number, and the id
-    counts of the ranges reach the driver.
+    Documents are dealt to ranges of (place, doc_id, hash of their ids), so not even rows of one place go to one task;
+    the number of ranges follows the number of ids. One row a file is added up in order.
     """
     spark = coded.sparkSession
     files.make_folder(folder)
     files.write_file(f"{folder}/codebook.bin", [codebook.astype("<u4").tobytes()])
-    ids = coded.agg(F.sum("n")).first()[0] or 0
-    buckets = int(min(max(ids // (FILE_IDS // 2), 1), 8192))
-    marks = coded.agg(F.percentile_approx("place", [(k + 1) / buckets for k in range(buckets - 1)] or [1.0], 20 * buckets)).first()[0] or []
-    bounds = sorted(set(marks[:buckets - 1])) if buckets > 1 else []
-    above = F.size(F.filter(F.lit(bounds), lambda b: b < F.col("place"))) if bounds else F.lit(0)
-    dealt = coded.withColumn("bucket", F.when(F.col("place").isNull(), -1).otherwise(above))
-    begin, starts = 0, {}
-    for r in sorted(dealt.groupBy("bucket").agg(F.sum("n").alias("n")).collect()):
-        starts[r.bucket] = begin
-        begin += r.n
+    ranges = int((coded.agg(F.sum("n")).first()[0] or 0) // RANGE_IDS) + 1
     size = max(int(codebook.max()) + 1 if len(codebook) else 1, 1)
     rank_of = np.zeros(size, np.uint32)
     rank_of[codebook] = np.arange(len(codebook), dtype=np.uint32)
     shared = spark.sparkContext.broadcast(rank_of)  # as long as the vocabulary
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            both = [encode(shared.value[unpacked(n, i)])
-                    for n, i in zip(batch.column("n").to_pylist(), batch.column("ids").to_pylist(), strict=True)]
-            yield pa.record_batch([*(batch.column(c) for c in ("bucket", "place", "doc_id", "n")),
-                                   pa.array([c for c, _ in both], pa.binary()), pa.array([d for _, d in both], pa.binary())],
-                                  names=["bucket", "place", "doc_id", "n", "control", "data"])
+        for batch in slices(batches, "ids"):
+            control, c_index, data, d_index = encode(shared.value[_flat(batch.column("ids"))], batch.column("n").to_numpy())
+            yield pa.record_batch([*(batch.column(c) for c in ("place", "doc_id", "tie", "n")), _binary(control, c_index), _binary(data, d_index)],
+                                  names=["place", "doc_id", "tie", "n", "control", "data"])
 
-    schema = "bucket int, place long, doc_id long, n long, control binary, data binary"
+    schema = "place long, doc_id long, tie long, n long, control binary, data binary"
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = {"bucket": None, "part": 0, "first": 0}
+        from pyspark import TaskContext
+
+        part, held = 0, 0
         open_docs: list[tuple] = []
 
         def close() -> pa.RecordBatch:
+            nonlocal part, held
             doc, n = [d[0] for d in open_docs], np.array([d[1] for d in open_docs], np.int64)
-            name = f"{folder}/{state['bucket'] + 1:05d}-{state['part']:06d}.rvb"
-            head = struct.pack(HEAD, MAGIC, len(doc), int(n.sum()), state["first"])
+            name = f"{folder}/{TaskContext.get().partitionId():08d}-{part:06d}.rvb"
             files.write_file(name, [
-                head, np.array([d or 0 for d in doc], "<i8").tobytes(), np.array([d is None for d in doc], "u1").tobytes(),
-                n.astype("<u4").tobytes(), *(d[2] for d in open_docs), *(d[3] for d in open_docs)])
-            row = pa.record_batch([pa.array([name]), pa.array([state["first"]], pa.int64()), pa.array([len(doc)], pa.int64()),
-                                   pa.array([int(n.sum())], pa.int64())], names=["file", "first", "n_docs", "n_ids"])
-            state["first"] += int(n.sum())
-            state["part"] += 1
+                struct.pack(HEAD, MAGIC, len(doc), int(n.sum())), np.array([d or 0 for d in doc], "<i8").tobytes(),
+                np.array([d is None for d in doc], "u1").tobytes(), n.astype("<u4").tobytes(), *(d[2] for d in open_docs), *(d[3] for d in open_docs)])
+            part, held = part + 1, 0
             open_docs.clear()
-            return row
+            return pa.record_batch([pa.array([name]), pa.array([len(doc)], pa.int64()), pa.array([int(n.sum())], pa.int64())],
+                                   names=["file", "n_docs", "n_ids"])
 
-        held = 0
         for batch in batches:
-            for bucket, doc, n, control, data in zip(*(batch.column(c).to_pylist() for c in ("bucket", "doc_id", "n", "control", "data")), strict=True):
-                if open_docs and (bucket != state["bucket"] or held >= FILE_IDS):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n", "control", "data")), strict=True):
+                if held >= FILE_IDS:
                     yield close()
-                    held = 0
-                if bucket != state["bucket"]:
-                    state |= {"bucket": bucket, "part": 0, "first": starts[bucket]}
-                open_docs.append((doc, n, control, data))
-                held += n
+                open_docs.append(row)
+                held += row[1]
         if open_docs:
             yield close()
 
-    ordered = dealt.mapInArrow(pack, schema).repartition(max(buckets // 2, 1), "bucket").sortWithinPartitions(
-        "bucket", "place", "doc_id", "n", "control", "data")
-    written = ordered.mapInArrow(write, "file string, first long, n_docs long, n_ids long")
-    return common.stored(written, f"{folder}/files")
+    order = [F.col(c).asc_nulls_first() for c in ("place", "doc_id", "tie")]
+    packed = coded.withColumn("tie", F.xxhash64("ids")).mapInArrow(pack, schema)
+    dealt = packed.repartitionByRange(ranges, *order).sortWithinPartitions(*order, "n", "control", "data")
+    written = common.stored(dealt.mapInArrow(write, "file string, n_docs long, n_ids long"), f"{folder}/written")
+    before = F.sum("n_ids").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
+    listed = common.stored(written.select("file", F.coalesce(before, F.lit(0).cast("long")).alias("first"), "n_docs", "n_ids"), f"{folder}/files")
+    common.remove_folder(spark, f"{folder}/written")
+    return listed
 
 
 def read_files(listed: DataFrame, folder: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, from the files alone."""
-    many = max(min(listed.count(), 4096), 1)
+    many = -(-listed.count() // READ_FILES) or 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codebook = np.frombuffer(files.read_file(f"{folder}/codebook.bin"), "<u4")
         for batch in batches:
-            for name in batch.column("file").to_pylist():
-                yield _file_rows(files.read_file(name), codebook)
+            for name, first in zip(batch.column("file").to_pylist(), batch.column("first").to_pylist(), strict=True):
+                yield _file_rows(files.read_file(name), codebook, first)
 
-    return listed.select("file").repartition(many, "file").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return listed.select("file", "first").repartition(many, "file").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def file_ids(blob: bytes, codebook: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, np.ndarray]:
-    """doc_ids, null flags, counts, ids before the file, and all ids of one file."""
-    magic, docs, ids, first = struct.unpack_from(HEAD, blob)
+def file_ids(blob: bytes, codebook: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """doc_ids, null flags, counts and all ids of one file."""
+    magic, docs, ids = struct.unpack_from(HEAD, blob)
     if magic != MAGIC:
         raise ValueError("not a token file")
     at = struct.calcsize(HEAD)
@@ -317,11 +360,11 @@ def file_ids(blob: bytes, codebook: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     ranks = decode(control, counts, np.frombuffer(blob, np.uint8, offset=at + n_control))
     if len(ranks) != ids:
         raise ValueError("a token file is damaged")
-    return doc, null.astype(bool), counts, first, codebook[ranks]
+    return doc, null.astype(bool), counts, codebook[ranks]
 
 
-def _file_rows(blob: bytes, codebook: np.ndarray) -> pa.RecordBatch:
-    doc, null, counts, first, ids = file_ids(blob, codebook)
+def _file_rows(blob: bytes, codebook: np.ndarray, first: int) -> pa.RecordBatch:
+    doc, null, counts, ids = file_ids(blob, codebook)
     ends = np.cumsum(counts)
     raw = ids.astype("<u4")
     crcs = [common.crc(raw[a:b].tobytes()) for a, b in zip(ends - counts, ends, strict=True)]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -143,15 +144,35 @@ def test_variable_length_round_trip():
     rng = np.random.default_rng(2)
     counts = np.array([0, 1, 3, 4, 5, 1000])
     ranks = [rng.integers(0, 1 << int(rng.choice([8, 16, 24, 32])), n, dtype=np.uint64).astype(np.uint32) for n in counts]
-    coded = [tokens.encode(r) for r in ranks]
-    got = tokens.decode(np.frombuffer(b"".join(c for c, _ in coded), np.uint8), counts, np.frombuffer(b"".join(d for _, d in coded), np.uint8))
-    assert (got == np.concatenate(ranks)).all()
+    control, c_index, data, d_index = tokens.encode(np.concatenate(ranks), counts)
+    assert (tokens.decode(control, counts, data) == np.concatenate(ranks)).all()
+    for k, r in enumerate(ranks):
+        own = tokens.decode(control[c_index[k]:c_index[k + 1]], counts[k:k + 1], data[d_index[k]:d_index[k + 1]])
+        assert (own == r).all()
+
+
+def test_word_encoder_equals_the_tokenizer(monkeypatch):
+    """On every document of sf0.01 and awkward texts, also when the encoder must forget."""
+    import pyarrow.parquet as pq
+
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist() + AWKWARD + [
+        "a.b,c!d 12ab34 x'y ''s 't'll a!'s ...'re |a| b|c | \u0301e e\u0301! <\u0338 a<\u0338b ǅ Σ.ΑΣ, İx ﬁ1 ²³ a_b-c"]
+    for limit in (40_000_000, 100_000):
+        monkeypatch.setattr(tokens, "CACHE_BYTES", limit)
+        own, at = tokens.WordEncoder(VOCABULARY), 0
+        for batch in common.slices(iter([pa.record_batch([pa.array(texts, pa.string())], names=["text"])]), limit=200_000):
+            ids, index = own.batch(batch.column("text"))
+            for a, b in zip(index[:-1], index[1:]):
+                assert np.array_equal(ids[a:b], own.whole(texts[at] or "")), texts[at][:80]
+                at += 1
+        assert at == len(texts)
 
 
 def test_token_files_equal_the_tokenizer(spark, sf_dir, monkeypatch):
     from tokenizers import Tokenizer
 
     monkeypatch.setattr(tokens, "FILE_IDS", 3000)
+    monkeypatch.setattr(tokens, "RANGE_IDS", 20_000)
     texts = AWKWARD + ["don't it's  A<|endoftext|>b", "naïve…» 12,34 \x1c z!?", "Σας İI"] + [
         r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60).collect()]
     ids = [3, 3, None, *range(1000, 1000 + len(texts) - 3)]
@@ -231,6 +252,30 @@ def test_short_disguises_map_back(text, found):
     assert [(pii.KINDS[k], text[s:e]) for s, k, e in pii.all_spans(text)[1]] == found
 
 
+LENGTHY = {
+    "digits": "1" * 200_000, "parts": "1." * 100_000, "words": "one " * 50_000, "two words": "one two " * 25_000, "spaced digits": "1 " * 100_000,
+    "spaces": "a" + " " * 200_000 + "a", "brackets": "a " + "[ " * 100_000, "dots": "a (dot) " * 25_000, "ats": "a at " * 40_000, "signs": "a@" * 100_000,
+    "left of at": "a" * 200_000 + "@", "host": "a at " + "b" * 200_000, "host parts": "a at " + "b." * 100_000, "pluses": "+1 " * 70_000,
+    "open phone": "+1" + " " * 200_000, "mixed": "Ol1" * 70_000, "lookalikes": "а@е.х " * 30_000, "addresses": "a@b.c [at] " * 20_000, "dot words": "1 dot " * 40_000,
+}
+
+
+@pytest.mark.parametrize("text", LENGTHY.values(), ids=LENGTHY)
+def test_long_texts_take_linear_time(text):
+    """200,000 characters of the kinds that could make a pattern start anew at each of them."""
+    began = time.process_time()
+    base, _ = pii.all_spans(text)
+    assert time.process_time() - began < 3
+    if len(text) <= 200_000 and text.isascii() and "1." in text:
+        assert len(base) == 25_000  # addresses of four parts
+
+
+def test_spans_inside_plain_ones_are_found_by_kind():
+    text = "a@b.cc, " * 40 + "mail x [at] y.zz and a@b.cc"
+    base, every = pii.all_spans(text)
+    assert len(base) == 41 and len(every) == 42
+
+
 def test_awkward_texts_take_little_time(spark):
     rows = pii.find_pii(frame(spark, AWKWARD + ["1" * 200_000, "a" * 200_000 + "@", "1 " * 100_000, "one " * 50_000])).collect()
     assert len(rows) == len(AWKWARD) + 4
