@@ -4,21 +4,22 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlens.functions import calendar as cal
-from martlens.functions.money import div0, ratio
-from martlens.operators import attribution, clv, enrich, geo, kpi, mmm, reviews, series, spine
+from martlens.functions.money import cents, div0, ratio, sum_usd
+from martlens.operators import asof, attribution, clv, enrich, geo, kpi, mmm, reviews, series, spine
 from martlens.plans import questions
 from martlens.plans.models import ADVANCED, MARKETING
 from martlens.plans.semantic import LazyTables
 from martlens.plans.tables import market_tables, metric_query
+from martlens.plans.upkeep import refresh_stale
 from martlens.sources import testdata as td
 from martlens.sources.store import new_table_path
-from martlens.streaming import events, refresh
+from martlens.streaming import deltas, events, refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -193,6 +194,91 @@ def daily_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return refresh.read_daily(spark, path)
 
 
+REFRESHED = ("mmm_contributions", "mmm_weekly", "product_revenue", "spend_daily", "daily_revenue")
+
+
+def ordered_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """Store five tables, let orders of the last days arrive, refresh: which tables were rewritten, and their totals."""
+    root = new_table_path(spark, "tables")
+    early = tables(spark, sf)
+    early.replace("orders", early["orders"].where(F.col("order_date") < cal.as_date("2024-01-25")))
+    refresh_stale(spark, early, REFRESHED, root)
+    now = tables(spark, sf)
+    rewritten = refresh_stale(spark, now, REFRESHED, root)
+    money = {"mmm_contributions": "attributed_revenue", "mmm_weekly": "attributed_revenue", "product_revenue": "total_revenue",
+             "spend_daily": "total_spend", "daily_revenue": "total_revenue"}
+    parts = [now[n].agg(F.count(F.lit(1)).alias("n_rows"), sum_usd(m).alias("total")).select(
+        F.lit(n).alias("table_name"), F.lit(n in rewritten).alias("rewritten"), "n_rows", "total") for n, m in money.items()]
+    return reduce(DataFrame.unionAll, parts)
+
+
+def _before_changes(orders: DataFrame) -> DataFrame:
+    """The orders as they were known earlier: some had not come, some were booked otherwise, some were later withdrawn."""
+    known = orders.where("order_id % 7 <> 3")
+    booked = known.withColumn("order_date", F.when(F.col("order_id") % 11 == 5, F.date_sub("order_date", 40)).otherwise(F.col("order_date"))).withColumn(
+        "product_category", F.when(F.col("order_id") % 13 == 6, "unknown").otherwise(F.col("product_category")))
+    withdrawn = orders.where("order_id % 17 = 2").withColumn("product_category", F.lit("returned")).withColumn("order_date", F.date_add("order_date", 30))
+    return booked.unionByName(withdrawn)
+
+
+def upkept(upkeep: deltas.Upkeep, now: Query, before: Callable[[DataFrame], DataFrame], columns: tuple[str, ...]) -> Query:
+    """The aggregate after a first load, a run of inserts, updates and deletes, and compaction."""
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        path, rows = new_table_path(spark, "upkeep"), now(spark, sf)
+        old = before(rows)
+        deltas.apply_changes(upkeep, upkeep.counted(old), path, 0)
+        deltas.apply_changes(upkeep, upkeep.difference(old, rows), path, 1)
+        deltas.compact(upkeep, spark, path)
+        return deltas.read_result(spark, path, columns)
+
+    return run
+
+
+CUSTOMER_COLUMNS = ("customer_id", "total_orders", "total_revenue", "first_order_date", "last_order_date", "distinct_categories", "usual_category")
+CUSTOMER_UPKEEP = deltas.Upkeep(
+    keys=("customer_id",), values=("order_date", "product_category"), sums={"_revenue": partial(cents, "revenue")}, result=enrich.customer_history)
+ZIP_COLUMNS = ("zip_code", "income_bracket", "lifestyle_segment", "outdoor_interest", "zip_records")
+ZIP_UPKEEP = deltas.Upkeep(keys=("zip_code",), values=enrich.PROFILE, result=enrich.zip_modes, buckets=16)
+
+
+def _records_before(records: DataFrame) -> DataFrame:
+    """Household records of which some had not come and some said something else."""
+    key = F.pmod(F.xxhash64(*records.columns), F.lit(9))
+    known = records.where(key != 4)
+    return known.withColumn("income_bracket", F.when(key == 2, "Unknown").otherwise(F.col("income_bracket")))
+
+
+def orders_as_of_spend(spark: SparkSession, sf: str) -> DataFrame:
+    """Each order with the latest spend day of its channel that is not after it."""
+    t = tables(spark, sf)
+    days = kpi.spend_by_channel_day(t["spend"])
+    late = t["orders"].select("order_id", "channel", "order_date", "revenue")
+    return asof.as_of_join(late, days, ["channel"], "order_date", "spend_date")
+
+
+def purchases_as_of_touch(spark: SparkSession, sf: str) -> DataFrame:
+    """Each purchase event with the last view, click or signup of the same user before it or at the same moment."""
+    rows = td.table(spark, sf, "events")
+    bought = rows.where("event_type = 'purchase'").select(F.col("event_id").alias("order_id"), "user_id", "ts", F.col("value").alias("revenue"))
+    touched = rows.where("event_type in ('view', 'click', 'signup')").select(
+        "user_id", F.col("ts").alias("touch_ts"), F.col("event_id").alias("touch_id"), F.col("event_type").alias("touch_type"))
+    return asof.as_of_join(bought, touched, ["user_id"], "ts", "touch_ts")
+
+
+def events_delivered_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily revenue of a feed that delivers a third of its events again, in part much later, with compaction between."""
+    feed, path = new_table_path(spark, "feed"), new_table_path(spark, "daily-once")
+    rows = td.table(spark, sf, "events")
+    parts = (rows.where("event_id % 2 = 0"), rows.where("event_id % 3 = 0"), rows.where("event_id % 2 = 1 or event_id % 9 = 0"))
+    sums = events.added(events.DAILY_SUMS)
+    for k, part in enumerate(parts):
+        part.write.parquet(f"{feed}/part-{k}")
+        events.accumulate(events.read_stream(spark, f"{feed}/*"), events.daily_revenue_windows, path, f"{path}-state")
+        if k == 1:
+            events.compact(spark, path, events.daily_revenue_windows, sums)
+    return events.merged(spark, path, events.daily_revenue_windows, sums)
+
+
 def merged_partials(t: LazyTables) -> DataFrame:
     late = F.col("order_id") % 3 == 0
     orders = t["orders"]
@@ -402,6 +488,12 @@ QUERIES: dict[str, Query] = {
     # refresh and streaming
     "daily_revenue_incremental": daily_incremental,
     "merge_partials": _of(merged_partials),
+    "refresh_ordered": ordered_refresh,
+    "customer_history_upkept": upkept(CUSTOMER_UPKEEP, lambda spark, sf: td.orders_events(spark, sf), _before_changes, CUSTOMER_COLUMNS),
+    "zip_modes_upkept": upkept(ZIP_UPKEEP, lambda spark, sf: tables(spark, sf)["enrichment"], _records_before, ZIP_COLUMNS),
+    "orders_as_of_spend": orders_as_of_spend,
+    "purchases_as_of_touch": purchases_as_of_touch,
+    "stream_delivered_twice": events_delivered_twice,
     "stream_daily_revenue": lambda spark, sf: events.whole_daily_revenue(spark, f"{sf}/events.parquet*"),
     "stream_weekly_spend": lambda spark, sf: events.whole_weekly_spend(spark, f"{sf}/events.parquet*"),
 }

@@ -10,8 +10,6 @@ With ``scope="customer"`` the same table is keyed by customer and day.
 
 from __future__ import annotations
 
-import decimal
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -44,27 +42,15 @@ def converting_days(
     )
 
 
-def _touch_array(rows: DataFrame, key: Sequence[str], window_days: int) -> DataFrame:
+def _touch_array(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     """One row per key: touches in sequence order, with position and total.
 
-    The weight 1 / (days + 1) of a touch is held as a whole number, over the common multiple of
-    all possible days, so that credits can be divided exactly.
-
     An array holds at most one entry per sub-channel.
     """
     listed = rows.groupBy(*key).agg(
         F.sort_array(F.collect_list(F.struct("first_touch_date", "sub_channel", "last_touch_date", "_spend"))).alias("_t")
     )
     total = F.size("_t")
-    common = math.lcm(*range(1, window_days + 2))
-
-    def pull(t: Column) -> Column:
-        days = F.datediff(F.col("order_date"), t["first_touch_date"]) + 1
-        return F.call_function("div", F.lit(decimal.Decimal(common)), days.cast("decimal(10,0)")).cast("decimal(38,0)")
-
-    none = F.lit(0).cast("decimal(38,0)")
-    pull_all = F.aggregate("_t", none, lambda acc, t: (acc + pull(t)).cast("decimal(38,0)"))
-
     numbered = F.transform(
         F.col("_t"),
         lambda t, i: F.struct(
@@ -75,8 +61,6 @@ def _touch_array(rows: DataFrame, key: Sequence[str], window_days: int) -> DataF
             F.datediff(F.col("order_date"), t["first_touch_date"]).alias("days_to_conversion"),
             (i + 1).alias("touchpoint_sequence"),
             total.alias("total_touchpoints"),
-            pull(t).alias("decay_weight"),
-            pull_all.alias("decay_total"),
         ),
     )
     return listed.select(*key, numbered.alias("touches"))
@@ -99,7 +83,7 @@ def touches_by_day(spend: DataFrame, campaigns: DataFrame, window_days: int = 30
             F.sum("_spend").alias("_spend"),
         )
     )
-    return _touch_array(reached, ["order_date"], window_days)
+    return _touch_array(reached, ["order_date"])
 
 
 def touches_by_customer_day(
@@ -140,7 +124,7 @@ def touches_by_customer_day(
         .where(F.col("_order") & F.col("first_touch_date").isNotNull())
         .withColumnRenamed("day", "order_date")
     )
-    return _touch_array(reached, ["customer_id", "order_date"], window_days)
+    return _touch_array(reached, ["customer_id", "order_date"])
 
 
 def conversions_with_touches(
@@ -169,7 +153,7 @@ def mta_touchpoints(
         F.col("order_date").alias("conversion_date"),
         "revenue",
         F.inline("touches"),
-    ).drop("decay_weight", "decay_total")
+    )
 
 
 def mta_journeys(conversions: DataFrame, path: str = "alphabetical") -> DataFrame:
@@ -194,15 +178,30 @@ def mta_journeys(conversions: DataFrame, path: str = "alphabetical") -> DataFram
     )
 
 
+#: Shares of whole cents this close to a half are halves: far above the error of a double, far below what shares differ by.
+HALF = 0.5 + 1e-6
+
+
+def _decay(touch: Column) -> Column:
+    return F.lit(1.0) / (touch["days_to_conversion"] + 1)
+
+
+def decay_total() -> Column:
+    """Sum of the decay weights of an order's touches, in their sequence; worked out once per order."""
+    return F.aggregate("touches", F.lit(0.0), lambda total, t: total + _decay(t))
+
+
 def _half_up(amount: Column, touch: Column) -> Column:
-    """A touch's decay share of a whole amount, rounded half away from zero, in whole numbers throughout."""
-    share, whole = touch["decay_weight"], touch["decay_total"]
-    twice = (F.abs(amount).cast("decimal(20,0)") * share * 2).cast("decimal(38,0)") + whole
-    return F.signum(amount) * F.call_function("div", twice.cast("decimal(38,0)"), (whole * 2).cast("decimal(38,0)")).cast("double")
+    """A touch's decay share of a whole amount, rounded half away from zero."""
+    return F.signum(amount) * F.floor(F.abs(amount) * _decay(touch) / F.col("_decay") + HALF)
+
+
+def _with_decay(conversions: DataFrame, models: Sequence[str]) -> DataFrame:
+    return conversions.withColumn("_decay", decay_total()) if "time_decay" in models else conversions
 
 
 def _credit(model: str, touch: Column, revenue: Column) -> tuple[Column, Column]:
-    """Credit in money and weight of one touch under one model."""
+    """Credit in money and weight of one touch under one model; time decay reads the order's total from ``_decay``."""
     seq, n = touch["touchpoint_sequence"], touch["total_touchpoints"]
     c = cents(revenue).cast("double")
     if model in SINGLE_TOUCH:
@@ -211,7 +210,7 @@ def _credit(model: str, touch: Column, revenue: Column) -> tuple[Column, Column]
     if model == "linear":
         return ratio(c, n * 100, 2), ratio(F.lit(1.0), n, 4)
     if model == "time_decay":
-        return _half_up(cents(revenue), touch) / 100, _half_up(F.lit(10_000), touch) / 10_000
+        return _half_up(c, touch) / 100, _half_up(F.lit(10_000.0), touch) / 10_000
     if model == "position_based":
         # whole tenths of the credit, so that the division is made once
         edge = (seq == 1) | (seq == n)
@@ -230,7 +229,7 @@ def credits(conversions: DataFrame, models: Sequence[str] = MODELS) -> DataFrame
         rows.append(F.struct(
             amount.alias("attributed_revenue"), weight.alias("attribution_weight"), F.lit(model).alias("model_name")
         ))
-    return conversions.withColumn("_t", F.explode("touches")).select(
+    return _with_decay(conversions, models).withColumn("_t", F.explode("touches")).select(
         F.col("order_id").alias("conversion_id"),
         "customer_id",
         touch["sub_channel"].alias("sub_channel"),
@@ -255,7 +254,7 @@ def attr_summary(conversions: DataFrame) -> DataFrame:
     and become rows only in the small result.
     """
     touch = F.col("_t")
-    touched = conversions.select("order_id", "revenue", F.explode("touches").alias("_t"))
+    touched = _with_decay(conversions, MODELS).select("order_id", "revenue", "_decay", F.explode("touches").alias("_t"))
     per_order, sums, rows = [], [], []
     for model in MODELS:
         amount, _ = _credit(model, touch, F.col("revenue"))

@@ -87,11 +87,15 @@ def zip_profiles(enrichment: DataFrame) -> DataFrame:
     )
 
 
-def one_profile_per_zip(enrichment: DataFrame) -> DataFrame:
-    """The most frequent value of each attribute per zip (ties: the lowest), and the record count."""
+def one_profile_per_zip(enrichment: DataFrame, counted: str | None = None) -> DataFrame:
+    """The most frequent value of each attribute per zip (ties: the lowest), and the record count.
+
+    ``counted`` names a column that says how many records a row stands for.
+    """
     values = F.array(*[F.struct(F.lit(p).alias("attribute"), F.col(p).alias("value")) for p in PROFILE])
+    profiles = enrichment.withColumn("profile_rows", F.col(counted)) if counted else profile_counts(enrichment)
     votes = (
-        profile_counts(enrichment)
+        profiles
         .select("zip_code", "profile_rows", F.inline(values))
         .groupBy("zip_code", "attribute", "value")
         .agg(F.sum("profile_rows").alias("n"))
@@ -266,6 +270,32 @@ def customer_enriched(
     )
 
 
+def customer_history(counted: DataFrame) -> DataFrame:
+    """Order history of each customer from counted rows (customer_id, order_date, product_category, _n, _revenue).
+
+    ``_n`` rows share a day and a category. The usual category is the most frequent one, of equally frequent ones the
+    lowest.
+    """
+    n = F.col("_n")
+    per_category = counted.groupBy("customer_id", "product_category").agg(
+        F.sum("_n").alias("_n"), F.sum("_revenue").alias("_revenue"),
+        F.min("order_date").alias("first"), F.max("order_date").alias("last"))
+    usual = F.when(F.col("product_category").isNotNull(), F.struct((-n).alias("n"), F.col("product_category").alias("value")))
+    return per_category.groupBy("customer_id").agg(
+        F.sum("_n").alias("total_orders"),
+        usd(F.sum("_revenue")).alias("total_revenue"),
+        F.min("first").alias("first_order_date"),
+        F.max("last").alias("last_order_date"),
+        F.count("product_category").alias("distinct_categories"),
+        F.min(usual).alias("_usual"),
+    ).withColumn("usual_category", F.col("_usual.value")).drop("_usual")
+
+
+def zip_modes(counted: DataFrame) -> DataFrame:
+    """The most frequent value of each attribute per zip, and the record count, from counted profiles (``_n``)."""
+    return one_profile_per_zip(counted, "_n")
+
+
 def segment_drilldown(
     enriched: DataFrame, state: str | None = None, outdoor_interest: str | None = None
 ) -> DataFrame:

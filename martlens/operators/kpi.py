@@ -103,6 +103,12 @@ def forecast_input(orders: DataFrame) -> DataFrame:
     )
 
 
+def spend_by_channel_day(spend: DataFrame) -> DataFrame:
+    """Spend and conversions per channel and day."""
+    return spend.groupBy("channel", "spend_date").agg(
+        sum_usd("amount").alias("day_spend"), F.sum("conversions").alias("day_conversions"))
+
+
 def spend_daily(spend: DataFrame) -> DataFrame:
     clicks, conversions = F.sum("clicks"), F.sum("conversions")
     return spend.groupBy(F.col("spend_date").alias("ds"), "channel", "sub_channel").agg(

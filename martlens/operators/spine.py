@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,21 +55,32 @@ def revenue_what_if(
 
     ``seasons`` maps a month to a factor, ``events`` are ``(channel, first day, last day,
     factor)`` of which the first match counts, ``price_change`` maps a category to a factor;
-    each is 1 when absent.
+    each is 1 when absent. Factors are taken as the decimal numbers they are written as; their
+    product is exact, and an order's adjusted cents are rounded once, half away from zero.
     """
-    event = F.lit(1.0)
-    for channel, first, last, factor in reversed(list(events)):
+    def whole(factors: list) -> tuple[list[Column], Column, int]:
+        """The factors as whole numbers over 10 to the third value, and 1 likewise."""
+        exact = [Decimal(str(f)) for f in factors]
+        digits = max([0, *(-d.normalize().as_tuple().exponent for d in exact)])
+        return [F.lit(int(d.scaleb(digits))).cast("decimal(12,0)") for d in exact], F.lit(10**digits).cast("decimal(12,0)"), digits
+
+    def looked_up(table: Mapping, key: Column) -> tuple[Column, int]:
+        factors, one, digits = whole(list(table.values()))
+        pairs = F.create_map(*[x for name, f in zip(table, factors, strict=True) for x in (F.lit(name), f)]) if table else None
+        return one if pairs is None else F.coalesce(F.try_element_at(pairs, key), one), digits
+
+    factors, event, event_digits = whole([e[3] for e in events])
+    for (channel, first, last, _), factor in reversed(list(zip(events, factors, strict=True))):
         hit = (F.col("channel") == channel) & F.col("order_date").between(as_date(first), as_date(last))
-        event = F.when(hit, F.lit(factor)).otherwise(event)
-
-    def looked_up(table: Mapping, key: Column) -> Column:
-        pairs = F.create_map(*[F.lit(x) for pair in table.items() for x in pair]) if table else None
-        return F.lit(1.0) if pairs is None else F.coalesce(F.try_element_at(pairs, key), F.lit(1.0))
-
-    # factors in ten-thousandths, so that the adjusted cents are exact
-    product = looked_up(seasons, F.month("order_date")) * event * looked_up(price_change, F.col("product_category"))
-    factor = F.rint(product * 10000).cast("bigint")
-    adjusted = F.floor((cents("revenue") * factor + 5000) / F.lit(10000))
+        event = F.when(hit, factor).otherwise(event)
+    season, season_digits = looked_up(seasons, F.month("order_date"))
+    price, price_digits = looked_up(price_change, F.col("product_category"))
+    scale = 10 ** (event_digits + season_digits + price_digits)
+    product = (season * event * price).cast("decimal(20,0)")
+    paid = cents("revenue")
+    twice = (F.abs(paid).cast("decimal(16,0)") * product * 2 + F.lit(scale)).cast("decimal(38,0)")
+    adjusted = F.call_function("div", twice, F.lit(2 * scale).cast("decimal(38,0)"))
+    adjusted = F.when(paid < 0, -adjusted).otherwise(adjusted)
     return orders.select("product_category", "channel", "revenue", adjusted.alias("_adj")).groupBy(
         "product_category", "channel"
     ).agg(sum_usd("revenue").alias("revenue"), usd(F.sum("_adj")).alias("adjusted_revenue"))

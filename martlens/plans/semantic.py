@@ -310,21 +310,38 @@ class SemanticView:
 
 
 class LazyTables(Mapping):
-    """Entity frames built on first use, so a query touches only its own tables."""
+    """Entity frames built on first use, so a query touches only its own tables.
+
+    ``reads`` tells for each table built so far which tables its maker asked for.
+    """
 
     def __init__(self, makers: Mapping[str, Callable[[], DataFrame]]):
         self._makers = dict(makers)
         self._made: dict[str, DataFrame] = {}
+        self._building: list[str] = []
+        self.reads: dict[str, set[str]] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
+        if self._building:
+            self.reads[self._building[-1]].add(name)
         if name not in self._made:
-            self._made[name] = self._makers[name]()
+            self.reads[name] = set()
+            self._building.append(name)
+            try:
+                self._made[name] = self._makers[name]()
+            finally:
+                self._building.pop()
         return self._made[name]
 
     def replace(self, name: str, frame: DataFrame) -> None:
         """Use ``frame`` from now on, also in tables not built yet."""
         self._made[name] = frame
 
+    def forget(self) -> None:
+        """Build every table that reads another one anew when it is next asked for."""
+        for name in [n for n in self._made if self.reads.get(n)]:
+            del self._made[name]
+
     def __iter__(self):
         return iter(self._makers)
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from martlens.operators import attribution, clv, enrich, geo, kpi, mmm, reviews, series
 from martlens.plans.models import MODELS
 from martlens.plans.semantic import LazyTables
-from martlens.sources.store import write_snapshot
+from martlens.plans.upkeep import refresh_stale
 
 
 def market_tables(
@@ -99,13 +99,10 @@ def metric_query(tables: LazyTables, model: str, **request) -> DataFrame:
 
 
 def refresh(spark: SparkSession, tables: LazyTables, targets: Sequence[str], root: str) -> LazyTables:
-    """Store ``targets`` in the order given; later ones read the stored earlier ones.
+    """Bring the stored copies of ``targets`` up to date; tables built afterwards read them. See ``plans.upkeep``.
 
     Nothing else is computed: a table without a stored copy stays a lazy frame
     that is expanded into its consumers.
     """
-    for name in targets:
-        path = f"{root.rstrip('/')}/{name}"
-        write_snapshot(tables[name], path)
-        tables.replace(name, spark.read.parquet(path))
+    refresh_stale(spark, tables, targets, root)
     return tables

@@ -58,6 +58,18 @@ def remove_path(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``; none if it does not exist."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in store.listStatus(place) if f.isDirectory()) if store.exists(place) else []
+
+
 def remove_partition(spark: SparkSession, path: str, values: Mapping[str, object]) -> None:
     """Delete one partition of a table written with ``partitionBy``."""
     remove_path(spark, "/".join([path.rstrip("/"), *(f"{k}={v}" for k, v in values.items())]))

@@ -94,7 +94,7 @@ def test_every_file_of_a_feed_counts_and_a_second_run_goes_on(spark, tmp_path):
     first = dt.datetime(2026, 1, 1, 12)
     feed, path, state = (str(tmp_path / n) for n in ("feed", "table", "state"))
     _write_events(spark, feed, [(i, first + dt.timedelta(days=i)) for i in range(10)], "a")
-    _write_events(spark, feed, [(i, first + dt.timedelta(days=i)) for i in range(10)], "b")
+    _write_events(spark, feed, [(100 + i, first + dt.timedelta(days=i)) for i in range(10)], "b")  # an id counts once
     assert events.whole_daily_revenue(spark, f"{feed}/*", path, state).agg(F.sum("order_count")).first()[0] == 20
     _write_events(spark, feed, [(99, first)], "c")  # later than any watermark would allow
     whole = events.whole_daily_revenue(spark, f"{feed}/*", path, state)
