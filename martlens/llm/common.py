@@ -59,9 +59,9 @@ def attach(spark: SparkSession) -> None:
     context._martlens_attached = True
 
 
-def stored(df: DataFrame, path: str) -> DataFrame:
+def stored(df: DataFrame, path: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet and read it back: cuts the lineage, survives lost executors."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

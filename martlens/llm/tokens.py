@@ -384,7 +384,7 @@ def token_files(docs: DataFrame, vocabulary: str, *, end_id: int = 1, order: str
     """
     spark = docs.sparkSession
     folder = folder or common.run_folder(spark, "tokens")
-    coded = common.stored(tokenize(docs, vocabulary, end_id, order), f"{folder}-ids")
+    coded = common.stored(tokenize(docs, vocabulary, end_id, order), f"{folder}-ids", "zstd")
     listed = write_files(coded, folder, frequency_ranks(coded))
     common.remove_folder(spark, f"{folder}-ids")
     return read_files(listed, folder)
