@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from martlens.functions import calendar as cal
 from martlens.functions.money import cents, div0, ratio, sum_usd
-from martlens.operators import asof, attribution, clv, enrich, geo, kpi, mmm, reviews, series, spine
+from martlens.operators import asof, attribution, calendar_model, clv, enrich, geo, kpi, mmm, reviews, series, spine
 from martlens.plans import questions
 from martlens.plans.models import ADVANCED, MARKETING
 from martlens.plans.semantic import LazyTables
@@ -466,6 +466,9 @@ QUERIES: dict[str, Query] = {
     "forecast_all": _table("forecasts", "event"),
     "forecast_coverage": _of(lambda t: series.forecast_coverage(t["forecasts"])),
     "forecast_overlay": _of(forecast_overlay, "star"),
+    "forecast_calendar": _of(lambda t: calendar_model.forecast_calendar(t["forecast_input"], "product_channel", STAR_CUTOFF), "star"),
+    "forecast_calendar_backtest": _of(lambda t: calendar_model.calendar_backtest(t["forecast_input"], STAR_CUTOFF), "star"),
+    "feature_loss": _of(lambda t: calendar_model.feature_loss(t["forecast_input"]), "star"),
     "forecast_backtest": _of(lambda t: series.forecast_backtest(t["forecast_input"], STAR_CUTOFF), "star"),
     "forecast_pandas": _of(lambda t: series.forecast_pandas(t["forecast_input"], "weekday_mean", periods=28), "star"),
     "feature_importance": _table("feature_importance", "star"),
