@@ -72,7 +72,10 @@ def share(numerator: str, denominator: str, scale: int = 100) -> Metric:
 #: Words of a condition that are not fields.
 CONDITION_WORDS = frozenset(
     "AND OR NOT IN IS NULL LIKE RLIKE BETWEEN TRUE FALSE CASE WHEN THEN ELSE END DATE TIMESTAMP INTERVAL CAST AS "
-    "INT BIGINT DOUBLE STRING DAY MONTH YEAR ESCAPE".split())
+    "INT BIGINT DOUBLE STRING ESCAPE".split())
+
+#: Words of a condition only behind ``INTERVAL n``; elsewhere they would be columns.
+INTERVAL_UNITS = frozenset("DAY DAYS MONTH MONTHS YEAR YEARS WEEK WEEKS HOUR HOURS".split())
 
 
 @dataclass(frozen=True)
@@ -109,6 +112,8 @@ class SemanticView:
             name = re.sub(r"\s", "", m.group())
             if name.upper() in CONDITION_WORDS or bare[m.end():].lstrip().startswith("("):
                 continue
+            if name.upper() in INTERVAL_UNITS and re.search(r"\binterval\s+(?:''|[-+]?\d+)\s*$", bare[:m.start()], re.IGNORECASE):
+                continue
             entity, _, column = name.partition(".")
             if column not in (*self.dimensions.get(entity, ()), *self.facts.get(entity, ())):
                 raise ValueError(f"{self.name} has no field {name}; conditions name declared entity.field")

@@ -68,6 +68,18 @@ def test_refused_requests(small, request_, message):
         MARKETING.query(small, **request_)
 
 
+@pytest.mark.parametrize("condition", ["month = 3", "orders.order_date > '2026-01-01' AND year > 2025", "day = 1 OR orders.channel = 'DTC'"])
+def test_bare_date_words_are_refused(small, condition):
+    with pytest.raises(ValueError, match="no field"):
+        MARKETING.query(small, dimensions=["orders.channel"], metrics=["orders.total_orders"], where=condition)
+
+
+def test_interval_units_and_date_functions_are_allowed(small):
+    where = "orders.order_date + INTERVAL 1 DAY > DATE '2000-01-01' AND month(orders.order_date) BETWEEN 1 AND 12 AND orders.order_date > DATE '2100-01-01' - INTERVAL '200' YEAR"
+    rows = MARKETING.query(small, dimensions=["orders.channel"], metrics=["orders.total_orders"], where=where)
+    assert rows.count() == MARKETING.query(small, dimensions=["orders.channel"], metrics=["orders.total_orders"]).count()
+
+
 def test_key_check_finds_faults(spark, small):
     small = {**small, "campaigns": small["campaigns"].unionByName(small["campaigns"].where("campaign_id = 1"))}
     rows = {(r.check, r.entity): r.violations for r in MARKETING.key_check(small, ["campaigns", "orders"]).collect()}
