@@ -7,7 +7,6 @@ pair of classes has a linear support vector machine, and the class with most vot
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +30,6 @@ FAMILIES = {
 FAMILY_OF = {lang: family for family, langs in FAMILIES.items() for lang in langs}
 
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 
 #: By byte: letters (ASCII letters and all bytes of other characters) lower-cased, everything else a space.
 _GRAM_BYTE = np.full(256, 32, np.uint8)
@@ -138,7 +136,7 @@ class Model:
                 lang[at] = np.array(self.within[f].classes, object)[inner]
                 score[at] = sure[at] * inner_sure
         for i, text in enumerate(column.to_pylist()):
-            if not text or not _LETTER.search(text):
+            if not text or not any(map(str.isalpha, text)):
                 lang[i], score[i] = UNKNOWN, 0.0
         return lang.tolist(), score
 

@@ -336,10 +336,10 @@ def test_languages_on_held_out_rows(spark, sf_dir):
 
 
 def test_texts_without_letters_are_undetermined(spark):
-    texts = ["der die das und nicht", "the and of with", "le la les des", "el los que y"] * 10 + [None, "", "12 !?", "中"]
-    langs = ["de", "en", "fr", "es"] * 10 + [None, "en", None, None]
+    texts = ["der die das und nicht", "the and of with", "le la les des", "el los que y"] * 10 + [None, "", "12 !?", "中", "½ ² ① 7"]
+    langs = ["de", "en", "fr", "es"] * 10 + [None, "en", None, None, None]
     got = {r.doc_id: r.lang_pred for r in langid.languages(frame(spark, texts, langs=langs)).collect()}
-    assert [got[i] for i in (40, 41, 42)] == ["und"] * 3 and got[43] != "und"
+    assert [got[i] for i in (40, 41, 42, 44)] == ["und"] * 4 and got[43] != "und"
     assert sum(got[i] == langs[i] for i in range(40)) == 40
 
 
