@@ -11,14 +11,16 @@ from pyspark.sql import functions as F
 
 from martlens.functions import calendar as cal
 from martlens.functions.money import cents, div0, ratio, sum_usd
-from martlens.operators import asof, attribution, calendar_model, clv, enrich, geo, kpi, mmm, reviews, series, spine
+from martlens.operators import (
+    asof, attribution, calendar_model, clv, enrich, geo, kpi, mmm, opinions, phrases, reviews, robust, series, spine,
+)
 from martlens.plans import questions
 from martlens.plans.models import ADVANCED, MARKETING
 from martlens.plans.semantic import LazyTables
 from martlens.plans.tables import market_tables, metric_query
 from martlens.plans.upkeep import refresh_stale
 from martlens.sources import testdata as td
-from martlens.sources.store import new_table_path
+from martlens.sources.store import append_rows, new_table_path, write_snapshot
 from martlens.streaming import deltas, events, refresh
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -305,6 +307,33 @@ def top_review_terms(t: LazyTables) -> DataFrame:
     return reviews.top_terms(t["sentiment"], 25, 4, (2, 5), (-0.5, 1.0))
 
 
+def targets_reached(t: LazyTables) -> DataFrame:
+    """The targets stored as a table and read back, against each quarter."""
+    spark = t["campaigns"].sparkSession
+    path = new_table_path(spark, "targets")
+    write_snapshot(mmm.channel_targets(spark, td.TEST_TARGETS), path)
+    return mmm.measures_vs_targets(t["mmm_contributions"], t["spend_daily"], spark.read.parquet(path))
+
+
+def stored_category_revenue(t: LazyTables) -> DataFrame:
+    """Revenue by category and channel as a stored table: a first state is replaced, later rows are appended."""
+    spark = t["product_revenue"].sparkSession
+    path, rows = new_table_path(spark, "stored"), t["product_revenue"].drop("product_name")
+    write_snapshot(rows.where("channel = 'DTC'").limit(1), path)
+    write_snapshot(rows.where("channel = 'DTC'"), path)
+    append_rows(rows.where("channel <> 'DTC'"), path)
+    return spark.read.parquet(path).groupBy("product_category", "channel").agg(
+        F.sum("order_count").alias("order_count"), sum_usd("total_revenue").alias("total_revenue"))
+
+
+def learned_words(t: LazyTables) -> DataFrame:
+    return opinions.opinion_words(t["product_reviews"], td.TEST_NEGATIONS)
+
+
+def learned_scores(t: LazyTables) -> DataFrame:
+    return opinions.learned_sentiment(t["product_reviews"], learned_words(t), negations=td.TEST_NEGATIONS)
+
+
 def order_tiers(t: LazyTables) -> DataFrame:
     return metric_query(
         t, "marketing", dimensions=["campaign_tiers.performance_tier"], metrics=["orders.total_orders"])
@@ -359,6 +388,8 @@ QUERIES: dict[str, Query] = {
     "mmm_insight_text": _table("mmm_insights"),
     "roas_vs_target": _of(lambda t: mmm.roas_vs_target(
         t["mmm_contributions"], {"email": 1.2, "search": 1.0, "social": 1.6, "trade_promo": 1.6})),
+    "mmm_quarter": _of(lambda t: mmm.contributions_of(t["mmm_contributions"], ["Q1_2024"], ["email", "search", "social"])),
+    "targets_reached": _of(targets_reached),
     # outside signals, customers, places
     "indicator_pivot": lambda spark, sf: _indicators(td.economic_series(spark, sf)),
     "segment_ladder": _table("enrichment"),
@@ -437,6 +468,24 @@ QUERIES: dict[str, Query] = {
     "sv_mix_weeks": _metric(
         "advanced", dimensions=["mmm_weekly.week_start", "mmm_weekly.sub_channel"],
         facts=["mmm_weekly.spend", "mmm_weekly.attributed_revenue"]),
+    "sv_forecast_rows": _metric(
+        "model_results", dimensions=["forecasts.model_name", "forecasts.series", "forecasts.ts"],
+        facts=["forecasts.forecast", "forecasts.lower_bound", "forecasts.upper_bound"],
+        where="forecasts.model_name = 'total_revenue' and forecasts.ts < '2024-02-20 00:00:00'"),
+    "sv_feature_importance": _metric(
+        "model_results", "star", dimensions=["feature_importance.feature_name", "feature_importance.feature_type"],
+        facts=["feature_importance.score", "feature_importance.rank"], where="feature_importance.rank <= 3"),
+    "sv_partner_facts": _of(lambda t: metric_query(
+        t, "marketing", facts=["partner_perf.total_revenue", "partner_perf.total_orders", "partner_perf.total_units_sold"]), "star", False),
+    "sv_extract_rows": _metric(
+        "reviews", dimensions=["extracts.product_category", "extracts.channel", "extracts.product_feedback", "extracts.recommendation"],
+        facts=["extracts.rating"], where="extracts.competitor_mention is not null"),
+    "sv_sentiment_by_recommendation": _metric(
+        "reviews", rounded={"avg_sentiment": 6, "avg_rating": 6}, dimensions=["extracts.recommendation", "sentiment.channel"],
+        metrics=["sentiment.avg_sentiment", "sentiment.review_count", "sentiment.avg_rating"]),
+    "sv_themes": _metric("reviews", dimensions=["themes.channel", "themes.themes"]),
+    "sv_trigger_list": _metric("advanced", dimensions=["geo_triggers.trigger_action"]),
+    "sv_geo_advice": _metric("advanced", dimensions=["geo_recommendations.state", "geo_recommendations.recommendation"]),
     "sv_key_check": lambda spark, sf: MARKETING.key_check(
         tables(spark, sf), ["campaigns", "orders", "customers", "spend", "partners"]),
     "sv_key_check_customers": lambda spark, sf: ADVANCED.key_check(
@@ -477,6 +526,12 @@ QUERIES: dict[str, Query] = {
     "anomaly_order_counts": _table("order_anomalies", "star"),
     "anomaly_all": _table("anomalies"),
     "anomaly_deviation": _of(lambda t: series.anomaly_deviation(t["order_anomalies"]), "star"),
+    "forecast_chosen": _of(lambda t: series.chosen_rows(
+        t["forecasts"], "spend_subchannel", ["email", "search"], "2024-02-01", "2024-03-15")),
+    "anomaly_chosen": _of(lambda t: series.chosen_rows(t["anomalies"], "wholesale_product", ["camping", "footwear"])),
+    "anomaly_robust_orders": _of(lambda t: robust.detect_robust(series.order_count_series(t["orders"]), "wholesale_product", STAR_CUTOFF), "star"),
+    "anomaly_robust_spend": _of(lambda t: robust.detect_robust(
+        series.spend_series(t["spend_daily"], EXCLUDE), "spend_subchannel", EVENT_CUTOFF)),
     "rolling_zscore": _of(lambda t: series.rolling_zscore(t["forecast_input"]), "star"),
     # text
     "review_sentiment": _table("sentiment"),
@@ -488,6 +543,11 @@ QUERIES: dict[str, Query] = {
     "campaign_summary_text": _table("campaign_summaries"),
     "channel_themes": _table("themes"),
     "top_terms": _of(top_review_terms),
+    "theme_phrases": _of(lambda t: phrases.theme_phrases(t["product_reviews"])),
+    "opinion_words": _of(learned_words),
+    "sentiment_learned": _of(learned_scores),
+    "sentiment_learned_order": _of(lambda t: opinions.rating_order(learned_scores(t))),
+    "stored_category_revenue": _of(stored_category_revenue, "star"),
     # refresh and streaming
     "daily_revenue_incremental": daily_incremental,
     "merge_partials": _of(merged_partials),

@@ -27,11 +27,6 @@ def raw_tokens(text: Column | str) -> Column:
     return F.split(F.lower(_col(text)), r"[^\p{L}]+")
 
 
-def tokens(text: Column | str) -> Column:
-    """:func:`raw_tokens` without the empty pieces."""
-    return F.filter(raw_tokens(text), lambda t: t != F.lit(""))
-
-
 def sentences(text: Column | str) -> Column:
     """Trimmed, non-empty pieces between sentence ends and line breaks."""
     parts = F.transform(F.split(_col(text), r"[.!?\n]+"), lambda s: F.trim(s))

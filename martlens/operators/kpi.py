@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from martlens.functions.calendar import as_date, is_holiday, is_weekend
 from martlens.functions.money import avg_usd, cents, ratio, sum_cents, sum_usd, usd
+from martlens.operators.mmm import ROAS_TARGET_OVERALL
 
 
 def _order_measures() -> list[Column]:
@@ -130,7 +131,7 @@ def spend_forecast_input(daily_spend: DataFrame, exclude: Sequence[str] = ("dist
     )
 
 
-def kpi_overview(by_channel: DataFrame, roas_target: float = 35.0) -> DataFrame:
+def kpi_overview(by_channel: DataFrame, roas_target: float = ROAS_TARGET_OVERALL) -> DataFrame:
     """One header row from the per-channel metrics of the metric layer."""
     def channel_cents(name: str) -> Column:
         return F.coalesce(F.sum(F.when(F.col("channel") == name, cents("total_revenue"))), F.lit(0).cast("bigint"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martlens.functions.calendar import dow0, is_weekend, month_start, quarter_label, week_start
@@ -23,6 +23,12 @@ ROAS_TARGETS = {
 }
 ROAS_TARGET_OVERALL = 35.0
 
+# The measures a target can be set for, the column that holds them, and whether more is better.
+TARGET_MEASURES = {
+    "roas": ("roi", True), "cpa": ("cost_per_conversion", False),
+    "conversions": ("conversions", True), "share": ("share_of_spend", True),
+}
+
 
 def mmm_daily(daily_spend: DataFrame, daily: DataFrame, indicators: DataFrame, national: DataFrame) -> DataFrame:
     """Daily feature table: spend, revenue of the day, monthly indicators, weather, date parts."""
@@ -141,6 +147,38 @@ def roas_vs_target(contributions: DataFrame, targets: Mapping[str, float] | None
     )
 
 
+def contributions_of(contributions: DataFrame, periods: Sequence[str] = (), channels: Sequence[str] = ()) -> DataFrame:
+    """Contributions of chosen quarters and sub-channels; an empty choice keeps all."""
+    rows = contributions.where(F.col("period").isin(*periods)) if periods else contributions
+    return rows.where(F.col("sub_channel").isin(*channels)) if channels else rows
+
+
+def channel_targets(spark: SparkSession, targets: Mapping[str, Mapping[str, float]]) -> DataFrame:
+    """The targets table: one row per sub-channel and measure (``TARGET_MEASURES``), to be stored."""
+    rows = [(channel, measure, float(value)) for channel, by in targets.items() for measure, value in by.items()]
+    unknown = {m for _, m, _ in rows} - set(TARGET_MEASURES)
+    if unknown:
+        raise ValueError(f"no such measure: {sorted(unknown)}")
+    return spark.createDataFrame(rows, "sub_channel string, measure string, target double")
+
+
+def measures_vs_targets(contributions: DataFrame, daily_spend: DataFrame, targets: DataFrame) -> DataFrame:
+    """Every target with what the sub-channel reached in each quarter and whether that is good enough.
+
+    Returns, shares and conversions are to be reached, costs per conversion not to be exceeded. A
+    quarter holds whole weeks, as in the contributions. Without a value the status is null.
+    """
+    converted = daily_spend.groupBy("sub_channel", quarter_label(week_start("ds")).alias("period")).agg(
+        F.sum("total_conversions").cast("double").alias("conversions"))
+    reached = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(c).alias("value")) for m, (c, _) in TARGET_MEASURES.items()])
+    long = contributions.join(converted, ["sub_channel", "period"], "left").select("sub_channel", "period", F.inline(reached))
+    ceilings = [m for m, (_, above) in TARGET_MEASURES.items() if not above]
+    gap = F.round(F.col("value") - F.col("target"), 2)
+    good = F.when(F.col("measure").isin(*ceilings), gap <= 0).otherwise(gap >= 0)
+    return long.join(targets, ["sub_channel", "measure"]).select(
+        "sub_channel", "period", "measure", "value", "target", gap.alias("delta"), good.alias("on_target"))
+
+
 def mmm_insight_text(summary: DataFrame) -> DataFrame:
     """One row of text: every channel by return, the best and the worst.
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from martlens.functions.money import ratio
 from martlens.functions.text import NEGATIVE_WORDS, POSITIVE_WORDS, count_in, mentions, raw_tokens, sentences
+from martlens.operators.spine import rows_before
 
 # The tiers a campaign can be given.
 PERFORMANCE_TIERS = ("Top Performer", "Solid Performer", "Average", "Underperformer", "Needs Review")
@@ -104,25 +105,22 @@ def review_extract(
 def term_counts(reviews: DataFrame, by: str) -> DataFrame:
     """Occurrences of each term per group, and in how many reviews it occurs.
 
-    A review's tokens are sorted and its runs of equal tokens become one row per
-    distinct term, so each text is read once and far fewer rows are exploded.
-    ``inline_outer`` and not ``inline``: for the latter the optimizer adds a
-    filter that evaluates the token expression a second time.
+    A text is split once; its words and its distinct words are exploded together
+    and counted in one hash aggregate, map-side before anything moves. ``explode_outer``
+    and not ``explode``: for the latter the optimizer adds a filter that evaluates
+    the word expression a second time.
     """
-    size = F.size("_s")
-    is_start = F.filter(F.sequence(F.lit(0), size - 1), lambda i: (i == 0) | (F.get("_s", i) != F.get("_s", i - 1)))
-    runs = F.transform(
-        "_starts",
-        lambda start, k: F.struct(
-            F.get("_s", start).alias("term"), (F.coalesce(F.get("_starts", k + 1), size) - start).alias("_run")
-        ),
+    lists = F.array(
+        F.struct(F.lit(1).alias("_tf"), F.lit(0).alias("_df"), F.col("_w").alias("_terms")),
+        F.struct(F.lit(0).alias("_tf"), F.lit(1).alias("_df"), F.array_distinct("_w").alias("_terms")),
     )
-    rows = reviews.select(by, F.sort_array(raw_tokens("review_text")).alias("_s")).withColumn("_starts", is_start)
+    rows = reviews.select(by, F.explode_outer(F.array(raw_tokens("review_text"))).alias("_w"))
     return (
-        rows.select(by, F.inline_outer(runs))
+        rows.select(by, F.inline_outer(lists))
+        .select(by, "_tf", "_df", F.explode_outer("_terms").alias("term"))
         .where(F.col("term") != "")
         .groupBy(by, "term")
-        .agg(F.sum("_run").alias("tf"), F.count(F.lit(1)).alias("df"))
+        .agg(F.sum("_tf").alias("tf"), F.sum("_df").alias("df"))
     )
 
 
@@ -174,14 +172,12 @@ def campaign_tiers(metrics: DataFrame) -> DataFrame:
     """Tier of each campaign by the quartile of its ROAS; no ROAS gives 'Needs Review'.
 
     Ranks are worked out on the distinct ROAS values (two decimals) with their
-    counts, so no task orders the campaigns themselves.
+    counts, in ranges of values whose counts are added up; they are stored once.
     """
     values = metrics.where(F.col("roas").isNotNull()).groupBy("roas").agg(F.count(F.lit(1)).alias("_n"))
-    above = Window.orderBy(F.desc("roas")).rowsBetween(Window.unboundedPreceding, -1)
-    rated = values.agg(F.sum("_n")).scalar()
-    ranks = values.withColumn("_above", F.coalesce(F.sum("_n").over(above), F.lit(0))).select(
-        "roas", F.coalesce(F.try_divide(F.col("_above"), rated - 1), F.lit(0.0)).alias("_pr")
-    )
+    ranked = rows_before(values, "roas", "_n", "_above")
+    rated = ranked.agg(F.sum("_n")).scalar()
+    ranks = ranked.select("roas", F.coalesce(F.try_divide(F.col("_above"), rated - 1), F.lit(0.0)).alias("_pr"))
     top, solid, average, under, review = PERFORMANCE_TIERS
     tier = (
         F.when(F.col("_pr").isNull(), review).when(F.col("_pr") < 0.25, top).when(F.col("_pr") < 0.5, solid)

@@ -171,11 +171,14 @@ def detect_anomalies(
     train, later = train_holdout_split(daily, cutoff)
     observed = later.groupBy("series", "ds").agg(F.sum("y").alias("y"))
     last = observed.agg(F.max("ds")).scalar()
-    days = fit(train, fill_gaps).withColumn("_last", last).where(F.col("_last").isNotNull()).withColumn(
+    params = fit(train, fill_gaps)
+    days = params.withColumn("_last", last).where(F.col("_last").isNotNull()).withColumn(
         "ds", F.explode(F.sequence(F.lit(as_date(cutoff)), F.col("_last"))))
     judged = days.join(observed, ["series", "ds"], "left" if fill_gaps else "inner")
     if fill_gaps:
         judged = judged.withColumn("y", F.coalesce("y", F.lit(0.0)))
+    unseen = observed.join(params.select("series"), "series", "left_anti")
+    judged = judged.unionByName(unseen, allowMissingColumns=True)
     scored = _bounded(judged, level, digits)
     z = F.try_divide(F.col("y") - _expected(), F.col("sigma"))
     cdf = F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.lit(0.07056) * z * z * z + F.lit(1.5976) * z)))
@@ -188,8 +191,8 @@ def detect_anomalies(
         "forecast",
         "lower_bound",
         "upper_bound",
-        ((y < F.col("lower_bound")) | (y > F.col("upper_bound"))).alias("is_anomaly"),
-        F.round(F.coalesce(cdf, F.lit(0.5)), 4).alias("percentile"),
+        F.coalesce((y < F.col("lower_bound")) | (y > F.col("upper_bound")), F.lit(False)).alias("is_anomaly"),
+        F.round(F.when(F.col("sigma").isNotNull(), F.coalesce(cdf, F.lit(0.5))), 4).alias("percentile"),
     )
 
 
@@ -211,6 +214,22 @@ def forecast_overlay(actuals: DataFrame, predicted: DataFrame) -> DataFrame:
     return actuals.select("date", "value", "type").unionByName(ahead)
 
 
+def chosen_rows(
+    rows: DataFrame,
+    model_name: str | None = None,
+    series: Sequence[str] = (),
+    start: dt.date | str | None = None,
+    end: dt.date | str | None = None,
+) -> DataFrame:
+    """Forecast or anomaly rows of one model, a set of series and a date range; each filter is optional."""
+    chosen = rows if model_name is None else rows.where(F.col("model_name") == model_name)
+    if series:
+        chosen = chosen.where(F.col("series").isin(*series))
+    if start is not None:
+        chosen = chosen.where(F.to_date("ts") >= as_date(start))
+    return chosen if end is None else chosen.where(F.to_date("ts") <= as_date(end))
+
+
 def forecast_coverage(predicted: DataFrame) -> DataFrame:
     return predicted.groupBy("model_name", "series").agg(
         F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.count(F.lit(1)).alias("n_periods")
@@ -271,10 +290,10 @@ def feature_importance(daily: DataFrame) -> DataFrame:
     )
 
 
-def rolling_zscore(daily: DataFrame, window_days: int = 28, threshold: float = 3.0) -> DataFrame:
+def rolling_zscore(daily: DataFrame, window_rows: int = 28, threshold: float = 3.0) -> DataFrame:
     """Distance of each day from the mean of its preceding rows, in standard deviations."""
-    before = Window.partitionBy("series").orderBy("ds").rowsBetween(-window_days, -1)
-    full = F.count("y").over(before) == window_days
+    before = Window.partitionBy("series").orderBy("ds").rowsBetween(-window_rows, -1)
+    full = F.count("y").over(before) == window_rows
     mean, spread = F.avg("y").over(before), F.stddev_samp("y").over(before)
     return (
         daily.withColumn("_z", F.when(full, F.try_divide(F.col("y") - mean, spread)))

@@ -132,6 +132,26 @@ def surrogate_key(rows: DataFrame, order_by: Sequence[str], name: str = "row_id"
     )
 
 
+def rows_before(values: DataFrame, value: str, count: str, name: str = "rows_before") -> DataFrame:
+    """For each distinct value, the sum of ``count`` over the larger values, without a single-task window.
+
+    Values are range-partitioned and stored; inside a range the counts are cumulated, and the
+    sums of the earlier ranges (one row per partition) are added. Nulls come last.
+    """
+    n = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = settle(values.repartitionByRange(n, F.desc_nulls_last(value)).withColumn("_p", F.spark_partition_id()))
+    earlier = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy("_p").agg(F.sum(count).alias("_n")).select(
+        "_p", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_p").orderBy(F.desc_nulls_last(value)).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        ranged.withColumn("_inside", F.coalesce(F.sum(count).over(inside), F.lit(0)))
+        .join(F.broadcast(offsets), "_p")  # at most one row per partition
+        .withColumn(name, F.col("_before") + F.col("_inside"))
+        .drop("_p", "_inside", "_before")
+    )
+
+
 def split_counts(daily: DataFrame, cutoff: dt.date | str) -> DataFrame:
     """Rows and days of the training and the hold-out part, per series."""
     part = F.when(F.col("ds") < as_date(cutoff), "train").otherwise("holdout")

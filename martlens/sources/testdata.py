@@ -304,3 +304,11 @@ TEST_FEEDBACK = ("this", "from", "avec", "dans", "für", "sich", "para", "una")
 TEST_BRANDS = ("ther", "eau", "ung", "ci", "mente", "heit")
 TEST_RECOMMEND = ("as", "are", "est", "ist", "es")
 TEST_DISCOURAGE = ("be", "at", "pas", "nicht", "no")
+TEST_NEGATIONS = ("not", "no", "pas", "nicht")
+
+TEST_TARGETS = {
+    "email": {"roas": 1.2, "cpa": 30.0, "conversions": 500.0, "share": 25.0},
+    "search": {"roas": 1.0, "cpa": 25.0, "share": 15.0},
+    "social": {"roas": 1.6, "conversions": 1000.0},
+    "trade_promo": {"roas": 1.6, "cpa": 26.0},
+}
