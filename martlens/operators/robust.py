@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from martlens.functions.calendar import as_date, dow0
 from martlens.operators.series import ANOMALY_LEVEL, Z_SCORES, densify, fit, train_holdout_split
+from martlens.sources.store import settle
 
 #: Distance between the quartiles of a normal distribution, in standard deviations.
 QUARTILE_SPAN = 1.3489795003921634
@@ -62,7 +63,8 @@ def fit_robust(daily: DataFrame, fill_gaps: bool = True) -> DataFrame:
 
     A spread of 0 (a constant series) pulls nothing back.
     """
-    rows = densify(daily) if fill_gaps else daily.where(F.col("y").isNotNull()).select("series", "ds", "y")
+    # the daily aggregate is read in every round: computed once
+    rows = settle(densify(daily) if fill_gaps else daily.where(F.col("y").isNotNull()).select("series", "ds", "y"))
     params = fit(rows, fill_gaps=False).select("series", *PARAMETERS)
     for _ in range(ROUNDS):
         judged = rows.join(params, "series").select("series", "ds", "y", _base().alias("_b"))
@@ -92,7 +94,8 @@ def detect_robust(
     """
     train, later = train_holdout_split(daily, cutoff)
     observed = later.where(F.col("y").isNotNull()).groupBy("series", "ds").agg(F.sum("y").alias("y"))
-    fitted = fit_robust(train, fill_gaps)
+    # one row per series, read by the pooled sketch and by every day: computed once
+    fitted = settle(fit_robust(train, fill_gaps))
     pooled = fitted.agg(F.kll_merge_agg_double("values", F.lit(SKETCH_SIZE)).alias("_all")).select(_ladder("_all").alias("_l")).scalar()
     own = fitted.select("series", *PARAMETERS, _ladder("residuals").alias("_own"))
     last = observed.agg(F.max("ds")).scalar()
