@@ -16,7 +16,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlens.llm import files
@@ -261,18 +261,42 @@ def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
         yield pa.Table.from_batches(held)
 
 
-def block_pairs(rows: DataFrame, group: str, order: list[str], size: int) -> DataFrame:
-    """``rows`` once for each pair (i, j) of blocks it takes part in, with its own ``block``, sorted by (group, i, j).
+#: Columns that name a pair of blocks within a group, and the side a row is on: 0 the first, 1 the second, 2 both.
+PAIR, SIDE = ["home_i", "slice_i", "home_j", "slice_j"], "side"
 
-    A group is cut into blocks of ``size`` rows by ``order``. Rows of one (group, i, j), at most twice ``size``, come
-    one after the other, so a task compares them without ever holding a whole group.
+
+def block_pairs(rows: DataFrame, group: str, size: int) -> DataFrame:
+    """``rows`` (group, component, id and others) once for each pair of blocks it takes part in, with ``PAIR`` and ``SIDE``.
+
+    Blocks are made from counts alone: a component with more than a quarter of ``size`` rows in a group fills blocks of
+    its own, dealt by a hash of the id; smaller ones are dealt whole, by a hash of the component, to blocks that hold
+    several. A block has about half of ``size`` rows. Two blocks of one component make no pair. The rows of a pair come
+    one after the other, so a task compares them without ever holding a group.
     """
-    place = F.row_number().over(Window.partitionBy(group).orderBy(*order)) - 1
-    cut = rows.withColumn("block", F.floor(place / size))
-    counted = cut.withColumn("last", F.max("block").over(Window.partitionBy(group)))
-    paired = counted.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), "last")))
-    return paired.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other", "last").repartition(
-        group, "i", "j").sortWithinPartitions(group, "i", "j", *order)
+    half = max(size // 2, 1)
+    counted = rows.groupBy(group, "component").agg(F.count("*").alias("n_own"))
+    own = F.col("n_own") > size // 4
+
+    def slices_of(n: Column) -> Column:
+        return F.when(n <= size, 1).otherwise(F.ceil(n / half)).cast("long")
+
+    small = counted.groupBy(group).agg(F.sum(F.when(~own, F.col("n_own"))).alias("n_small"))
+    layout = counted.join(small, group).select(group, "component", own.alias("own"), slices_of(F.when(own, F.col("n_own")).otherwise(F.col("n_small"))).alias("n_slices"))
+    # Slices of shared blocks are negative, so that no component's number is taken for another's.
+    placed = rows.join(layout, [group, "component"]).withColumn("home", F.when(F.col("own"), F.col("component")).otherwise(0).cast("long")).withColumn(
+        "slice", F.when(F.col("own"), F.pmod(F.xxhash64("id"), "n_slices")).otherwise(-1 - F.pmod(F.xxhash64("component"), "n_slices"))).drop("own", "n_slices")
+    blocks = layout.select(group, F.when(F.col("own"), F.col("component")).otherwise(0).cast("long").alias("home"), "own", "n_slices").distinct().select(
+        group, "home", F.explode(F.when(F.col("own"), F.sequence(F.lit(0).cast("long"), F.col("n_slices") - 1)).otherwise(
+            F.sequence(-F.col("n_slices"), F.lit(-1).cast("long")))).alias("slice"))
+    i = blocks.select(group, F.col("home").alias("home_i"), F.col("slice").alias("slice_i"))
+    j = blocks.select(F.col(group).alias("group_j"), F.col("home").alias("home_j"), F.col("slice").alias("slice_j"))
+    first, second = F.struct(F.col("home_i").alias("home"), F.col("slice_i").alias("slice")), F.struct(F.col("home_j").alias("home"), F.col("slice_j").alias("slice"))
+    one_component = (F.col("slice_i") >= 0) & (F.col("slice_j") >= 0) & (F.col("home_i") == F.col("home_j"))
+    pairs = i.join(j, (F.col(group) == F.col("group_j")) & (first <= second) & ~one_component)
+    taken = pairs.select(group, *PAIR, F.explode(F.when(first == second, F.array(F.struct(first.alias("b"), F.lit(2).alias(SIDE)))).otherwise(
+        F.array(F.struct(first.alias("b"), F.lit(0).alias(SIDE)), F.struct(second.alias("b"), F.lit(1).alias(SIDE))))).alias("t")).select(
+        group, *PAIR, F.col("t.b.home").alias("home"), F.col("t.b.slice").alias("slice"), f"t.{SIDE}")
+    return placed.join(taken, [group, "home", "slice"]).drop("home", "slice").repartition(group, *PAIR).sortWithinPartitions(group, *PAIR, "component", "id")
 
 
 def grouped(lists: np.ndarray, index: np.ndarray) -> pa.ListArray:

@@ -201,11 +201,9 @@ class _Rows:
     """The members of a pair of blocks, and which of them are to be compared."""
 
     def __init__(self, table: pa.Table):
-        self.id, self.n, self.component, self.block = (table[c].to_numpy() for c in ("id", "n", "component", "block"))
+        self.id, self.n, self.component, side = (table[c].to_numpy() for c in ("id", "n", "component", common.SIDE))
         self.signature = _signatures(table["signature"].combine_chunks())
-        i, j = table["i"][0].as_py(), table["j"][0].as_py()
-        self.left = np.arange(len(self.id)) if i == j else np.flatnonzero(self.block == i)
-        self.right = self.left if i == j else np.flatnonzero(self.block == j)
+        self.left, self.right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
 
     def partners(self, x: int, group: np.ndarray, limit: float, least: float) -> np.ndarray:
         """Rows on the right that ``x`` may be linked with and that are in another ``group``."""
@@ -223,7 +221,7 @@ def likely_edges(members: DataFrame, limit: float) -> DataFrame:
     least = lowest_estimate(limit)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in common.runs(batches, ["bucket", "i", "j"]):
+        for table in common.runs(batches, ["bucket", *common.PAIR]):
             rows = _Rows(table)
             root = np.arange(len(rows.id))
             a, b = [], []
@@ -237,7 +235,7 @@ def likely_edges(members: DataFrame, limit: float) -> DataFrame:
                     root[np.isin(root, apart)] = root[x]
             yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return common.block_pairs(members, "bucket", ["component", "id"], BLOCK).mapInArrow(run, "a long, b long").distinct()
+    return common.block_pairs(members, "bucket", BLOCK).mapInArrow(run, "a long, b long").distinct()
 
 
 def cluster_links(members: DataFrame, percent: int) -> DataFrame:
@@ -249,7 +247,7 @@ def cluster_links(members: DataFrame, percent: int) -> DataFrame:
     limit, least = percent / 100, lowest_estimate(percent / 100)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in common.runs(batches, ["cluster", "i", "j"]):
+        for table in common.runs(batches, ["cluster", *common.PAIR]):
             rows = _Rows(table)
             sets = [np.frombuffer(s.as_buffer(), _U64) for s in table["set"]]
             group = rows.component.copy()
@@ -262,7 +260,7 @@ def cluster_links(members: DataFrame, percent: int) -> DataFrame:
                         group[group == group[y]] = group[x]
             yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return common.block_pairs(members, "cluster", ["component", "id"], SET_BLOCK).mapInArrow(run, "a long, b long")
+    return common.block_pairs(members, "cluster", SET_BLOCK).mapInArrow(run, "a long, b long")
 
 
 def near_groups(docs: DataFrame, percent: int = 80, folder: str | None = None) -> DataFrame:
