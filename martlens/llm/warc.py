@@ -155,7 +155,7 @@ DIRECTORY = "segment string, first_key string, last_key string, offset long, len
 def write_index(entries: DataFrame, folder: str) -> DataFrame:
     """Sort the entries into segments of compressed blocks; gives the sparse directory, a row per block."""
     files.make_folder(folder)
-    parts = max(min(entries.count() // (50 * BLOCK), 10_000), 1)
+    parts = max(entries.count() // (50 * BLOCK), 1)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
@@ -292,7 +292,7 @@ def read_records(entries: DataFrame) -> DataFrame:
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
                                   names=["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
-    many = max(min(entries.select("file").distinct().count(), 10_000), 1)
+    many = max(entries.select("file").distinct().count(), 1)
     return entries.select("file", "offset", "length").repartition(many, "file").sortWithinPartitions("file", "offset").mapInArrow(run, RECORD)
 
 
