@@ -506,6 +506,30 @@ def test_fingerprints_and_near_ones(spark, sf_dir):
         assert r.n_near == (near if i % 50 == 0 else None)
 
 
+def test_next_documents_of_null_and_repeated_ids(spark):
+    """Equal ids follow by a hash of the text, null ids last, equal rows are one document; many partitions give the same links."""
+    texts = [f"text {k} " * (k % 5 + 1) for k in range(40)] + [None, "", "text 1 text 1 ", "text 1 text 1 "]
+    ids = [3] * 10 + [None] * 10 + [-(1 << 63), (1 << 63) - 1, *range(18), 7, None, 1, 1]
+    docs = frame(spark, texts, ids)
+    rows = docs.distinct().select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("a")).collect()
+    order = sorted({(r.doc_id is None, -(r.doc_id or 0), r.a, r.text) for r in rows})
+    folder = common.run_folder(spark, "test")
+    for per_part in (5, 1000):
+        links = simhash.neighbours(docs, f"{folder}/{per_part}", per_part).collect()
+        got = {(r.before.unnumbered, -(~r.before.down if not r.before.unnumbered else 0), r.before.a):
+               (r.unnumbered, -(~r.down if not r.unnumbered else 0), r.a) for r in links}
+        assert got == {x[:3]: y[:3] for x, y in zip(order, order[1:] + order[:1], strict=True)}
+    follows = {(None if x[0] else -x[1], x[3]): y[3] for x, y in zip(order, order[1:] + order[:1], strict=True)}
+    want = Counter()
+    for i, t in zip(ids, texts, strict=True):
+        t = t or ""
+        edited = t[:len(t) - len(t) // 3] + follows[i, t][:len(t) // 3]
+        want[i, len(t), hashlib.sha256(edited.encode()).hexdigest()] += 1
+    table = simhash.fingerprint_table(docs).collect()
+    assert Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in table) == want
+    assert all((r.n_near is not None) == (r.doc_id is not None and r.doc_id % 50 == 0) for r in table)
+
+
 def test_fingerprint_is_the_sign_of_the_votes(spark):
     text = "aa bb cc " * 700 + "dd"  # more terms than a chunk holds
     words = text.split()
