@@ -134,3 +134,17 @@ def test_phrases_need_frequent_words_and_a_null_group_is_a_group(spark):
     rows = phrases.theme_phrases(frame, min_share=0.2, min_count=3).collect()
     assert [(r.channel, r.phrase, r.n) for r in rows] == [(None, "rain cover", 3)]
     assert phrases.theme_phrases(_reviews(spark, [])).count() == 0
+
+
+def test_phrases_read_the_text_twice(spark):
+    rows = [(3, "rain cover leaks. the rain cover, torn"), (4, "cover the rain. odd tent")] * 5
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    frame = _reviews(spark, rows)
+    assert phrases.phrase_counts(frame.mapInArrow(counted, frame.schema), min_share=0.01).collect()
+    assert seen.value == 2 * len(rows)
