@@ -265,15 +265,17 @@ def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
 PAIR, SIDE = ["home_i", "slice_i", "home_j", "slice_j"], "side"
 
 
-def block_pairs(rows: DataFrame, group: str, size: int) -> DataFrame:
+def block_pairs(rows: DataFrame, group: str, size: int, folder: str | None = None) -> DataFrame:
     """``rows`` (group, component, id and others) once for each pair of blocks it takes part in, with ``PAIR`` and ``SIDE``.
 
     Blocks are made from counts alone: a component with more than a quarter of ``size`` rows in a group fills blocks of
     its own, dealt by a hash of the id; smaller ones are dealt whole, by a hash of the component, to blocks that hold
     several. A block has about half of ``size`` rows. Two blocks of one component make no pair. The rows of a pair come
-    one after the other, so a task compares them without ever holding a group.
+    one after the other, so a task compares them without ever holding a group. ``rows`` and the layout are used several
+    times; with a ``folder`` both are stored, which keeps the plan, and the driver's memory for it, small.
     """
     half = max(size // 2, 1)
+    rows = stored(rows, f"{folder}/rows") if folder else rows
     counted = rows.groupBy(group, "component").agg(F.count("*").alias("n_own"))
     own = F.col("n_own") > size // 4
 
@@ -282,6 +284,7 @@ def block_pairs(rows: DataFrame, group: str, size: int) -> DataFrame:
 
     small = counted.groupBy(group).agg(F.sum(F.when(~own, F.col("n_own"))).alias("n_small"))
     layout = counted.join(small, group).select(group, "component", own.alias("own"), slices_of(F.when(own, F.col("n_own")).otherwise(F.col("n_small"))).alias("n_slices"))
+    layout = stored(layout, f"{folder}/layout") if folder else layout
     # Slices of shared blocks are negative, so that no component's number is taken for another's.
     placed = rows.join(layout, [group, "component"]).withColumn("home", F.when(F.col("own"), F.col("component")).otherwise(0).cast("long")).withColumn(
         "slice", F.when(F.col("own"), F.pmod(F.xxhash64("id"), "n_slices")).otherwise(-1 - F.pmod(F.xxhash64("component"), "n_slices"))).drop("own", "n_slices")

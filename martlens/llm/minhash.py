@@ -212,7 +212,7 @@ class _Rows:
         return y[estimate(self.signature[y], self.signature[x]) >= least] if len(y) else y
 
 
-def likely_edges(members: DataFrame, limit: float) -> DataFrame:
+def likely_edges(members: DataFrame, limit: float, folder: str | None = None) -> DataFrame:
     """Edges (a, b) that connect all members of a bucket that are likely linked across components.
 
     ``members`` is (bucket, id, n, signature, component). Only edges that join what is still apart are given, fewer
@@ -235,10 +235,10 @@ def likely_edges(members: DataFrame, limit: float) -> DataFrame:
                     root[np.isin(root, apart)] = root[x]
             yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return common.block_pairs(members, "bucket", BLOCK).mapInArrow(run, "a long, b long").distinct()
+    return common.block_pairs(members, "bucket", BLOCK, folder).mapInArrow(run, "a long, b long").distinct()
 
 
-def cluster_links(members: DataFrame, percent: int) -> DataFrame:
+def cluster_links(members: DataFrame, percent: int, folder: str | None = None) -> DataFrame:
     """Confirmed links (a, b) between the components of each cluster, fewer than rows for each pair of blocks.
 
     ``members`` is (cluster, id, n, signature, component, set). Every likely pair across components is compared on its
@@ -260,7 +260,7 @@ def cluster_links(members: DataFrame, percent: int) -> DataFrame:
                         group[group == group[y]] = group[x]
             yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return common.block_pairs(members, "cluster", SET_BLOCK).mapInArrow(run, "a long, b long")
+    return common.block_pairs(members, "cluster", SET_BLOCK, folder).mapInArrow(run, "a long, b long")
 
 
 def near_groups(docs: DataFrame, percent: int = 80, folder: str | None = None) -> DataFrame:
@@ -298,12 +298,12 @@ def near_groups(docs: DataFrame, percent: int = 80, folder: str | None = None) -
     group = components(links, f"{folder}/stars")
     named = members.join(group, F.col("id") == F.col("node"), "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
     mixed = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-    edges = common.stored(likely_edges(named.join(mixed, "bucket").join(sig, "id"), percent / 100), f"{folder}/edges")
+    edges = common.stored(likely_edges(named.join(mixed, "bucket").join(sig, "id"), percent / 100, f"{folder}/apart"), f"{folder}/edges")
     clusters = components(edges, f"{folder}/clusters").select(F.col("node").alias("id"), F.col("component").alias("cluster"))
     sets = shingle_sets(clusters.select("id"), texts, f"{folder}/cluster-sets")
     in_cluster = clusters.join(group, F.col("id") == F.col("node"), "left").select(
         "cluster", "id", F.coalesce("component", "id").alias("component")).join(sig, "id").join(sets, "id")
-    more = common.stored(cluster_links(in_cluster, percent), f"{folder}/more-links")
+    more = common.stored(cluster_links(in_cluster, percent, f"{folder}/cluster-rows"), f"{folder}/more-links")
     group = components(links.union(more).union(copies), f"{folder}/groups")
     result = own.join(group, F.col("doc_id") == F.col("node"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))

@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from martlens.llm import common
+from martlens.llm import common, minhash
 
 
 @pytest.mark.parametrize("size", [4, 16, 1024])
@@ -38,3 +38,25 @@ def test_block_pairs_hold_each_pair_across_components_once(spark, size):
 def test_a_group_of_one_component_is_not_moved(spark):
     frame = spark.range(500).selectExpr("1L bucket", "7L component", "id")
     assert common.block_pairs(frame, "bucket", 16).count() == 0
+
+
+def test_stored_rows_and_layout_give_the_same_pairs(spark, tmp_path):
+    frame = spark.range(300).selectExpr("id % 3 bucket", "id % 7 component", "id")
+    plain, kept = (common.block_pairs(frame, "bucket", 16, f) for f in (None, str(tmp_path)))
+    order = ["bucket", *common.PAIR, "component", "id"]
+    assert kept.columns == plain.columns and kept.orderBy(order).collect() == plain.orderBy(order).collect()
+
+
+def test_near_groups_plans_stay_small(spark, tmp_path, monkeypatch):
+    """Plans are kept and announced by the driver at every stage, so a plan of a hundred joins takes its memory."""
+    joins, stored = [], common.stored
+
+    def noted(df, path, *args):
+        joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        return stored(df, path, *args)
+
+    monkeypatch.setattr(common, "stored", noted)
+    words = [f"w{k}" for k in range(60)]
+    docs = spark.createDataFrame([(k, " ".join([*words[:50 - k], f"own{k}", *words[50 - k:]])) for k in range(20)], "doc_id long, text string")
+    assert minhash.near_groups(docs, 80, str(tmp_path / "run")).count() == 20
+    assert max(joins) <= 8
